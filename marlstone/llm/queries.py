@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marlstone.llm import bpe_table, packing, secrets, sharding
+from marlstone.llm import bpe_table, chat, merkle, packing, quality, secrets, sharding, toxicity
 from marlstone.llm.common import ship
 
-MODULES = (bpe_table, sharding, secrets, packing)
+MODULES = (bpe_table, merkle, sharding, quality, toxicity, chat, secrets, packing)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

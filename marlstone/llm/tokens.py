@@ -29,6 +29,10 @@ class ByteBPE:
         self.own = Tokenizer.from_file(path)
         self.own.no_truncation()
         self.own.no_padding()
+        #: Bytes of each id's piece.
+        self.lengths = np.zeros(self.own.get_vocab_size(), dtype=np.int64)
+        self.lengths[list(ranks.values())] = [len(b) for b in ranks]
+        self.lengths[self.own.token_to_id(SPECIAL)] = len(SPECIAL)
         self.fast = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={SPECIAL: self.own.token_to_id(SPECIAL)})
 
     def ids(self, text: str) -> np.ndarray:
