@@ -28,7 +28,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 
-from marlstone.llm.common import id_text, one_thread, record, table, texts_of
+from marlstone.llm.common import id_text, one_thread, record, stored_bytes, table, texts_of
 
 CHUNK_BYTES = 8 << 20
 #: Input bytes as stored for each bucket of words.
@@ -139,11 +139,6 @@ def digests(texts: list[str], known: dict[str, list[int]], words: WordTable) ->
     return out
 
 
-def stored_bytes(df: DataFrame) -> int:
-    """The optimiser's estimate of the size of df."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
 def encode_decode(docs: DataFrame, path: str, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every whole text."""
     rows = id_text(docs)

@@ -20,17 +20,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from marlstone.llm.common import sha256_hex, table
+from marlstone.llm.common import sha256_hex, stored_bytes, table
 
 LEAF_WORDS = 8
 #: Input bytes as stored for each range of ids, and the most ranges.
 RANGE_BYTES, MOST_RANGES = 8 << 20, 4096
 
 
-def stored_bytes(df: DataFrame) -> int:
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
 def tree(text: Column, leaf_words: int = LEAF_WORDS) -> Column:
     """Leaf digests by section and paragraph: array<array<array<string>>>."""
     leaf = F.lit("(?s)(?:[^ ]++ ?+| ++){1,%d}+" % leaf_words)
