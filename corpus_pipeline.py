@@ -1,25 +1,67 @@
-"""From documents to packed token sequences, stage by stage."""
+"""From documents to packed token sequences: toxic documents go, one of each group of near copies stays, repeated
+passages and secrets are taken out, and what is left is packed.
+
+Every stage takes (spark, docs, sf_dir) and returns a DataFrame; run() writes each stage's rows as Parquet in the
+shared checkpoint folder and reads them again as the next one's docs. All but the last return the columns of documents.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from marlstone.llm import jaccard_join, packing, secrets, suffix_dedup, toxicity
+from marlstone.llm.common import Scratch, ship
+
+
+def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose score is below the threshold. Labels teach by the documents that carry them, but for those held
+    out; no label is looked at to decide on a document."""
+    ship(spark)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select(F.col("doc_id").alias("label_id"), "toxic")
+    labelled = docs.select("doc_id", "text").join(labels, F.col("doc_id") == F.col("label_id")).filter(toxicity.remainder(F.col("doc_id")) != 1)
+    scored = toxicity.score(docs, toxicity.learn(labelled.select("doc_id", "text", "toxic")))
+    return scored.filter(F.col("score") < toxicity.TOXIC).select(*docs.columns)
+
+
+def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return jaccard_join.keep_one(docs)
 
-from marlstone.llm import packing
-from marlstone.llm.common import ship
+
+def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return suffix_dedup.cleaned(docs)
+
+
+def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return secrets.redact_secrets(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship(spark)
     return packing.pack_documents(docs)
 
 
-STAGES = [("packing", packed)]
+STAGES = [
+    ("toxicity", without_toxic),
+    ("n-gram Jaccard join", without_near_copies),
+    ("suffix-array dedup", without_repeats),
+    ("secret scans", without_secrets),
+    ("packing", packed),
+]
+
+#: SQL has no tokeniser and no model; the stages are tested against brute force instead.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last stage's rows."""
-    ship(spark)
+    """The rows of the last stage."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    scratch = Scratch(spark)
+    for _, stage in STAGES[:-1]:
+        docs = scratch.cut(stage(spark, docs, sf_dir))
+    out = STAGES[-1][1](spark, docs, sf_dir)
+    scratch.close()  # the last stage's rows are in the checkpoint folder already
+    return out

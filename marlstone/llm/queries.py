@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marlstone.llm import bpe_table, chat, jaccard_join, merkle, packing, quality, secrets, sharding, toxicity
+from marlstone.llm import bpe_table, chat, jaccard_join, merkle, packing, quality, secrets, sharding, suffix_dedup, toxicity
 from marlstone.llm.common import ship
 
-MODULES = (jaccard_join, bpe_table, merkle, sharding, quality, toxicity, chat, secrets, packing)
+MODULES = (suffix_dedup, jaccard_join, bpe_table, merkle, sharding, quality, toxicity, chat, secrets, packing)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
