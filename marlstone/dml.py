@@ -50,6 +50,10 @@ def insert(engine: Engine, table: Table, body: Insert, binds: Mapping[str, Any])
     if body.rows is not None:
         if any(len(r) != len(columns) for r in body.rows):
             raise SqlError("Column count doesn't match value count at row 1")
+        if table.kind == "split":
+            keys = [dict(zip(columns, r, strict=True)).get(table.key.lower()) for r in body.rows]
+            if any(k is None or (k.kind == "lit" and k.args[0] is None) for k in keys):
+                raise SqlError(f"cannot calculate split table, logic table: {table.name}")
         renderer: Renderer = engine._renderer(binds, None, [])
         default = lambda e: "NULL" if e.kind == "col" and e.args[0][-1].upper() == "DEFAULT" else renderer.expr(e)
         selects = []
@@ -70,8 +74,6 @@ def insert(engine: Engine, table: Table, body: Insert, binds: Mapping[str, Any])
         engine.last_insert_id = first
     if table.key:
         new = table.placed(new)
-        if table.kind == "split" and body.rows is not None and any(dict(zip(columns, r, strict=True)).get(table.key.lower()) is None for r in body.rows):
-            raise SqlError(f"cannot calculate split table, logic table: {table.name}")
     else:
         new = new.withColumn(PART, F.lit(0))
     key = list(table.primary_key)

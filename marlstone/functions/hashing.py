@@ -2,7 +2,7 @@
 
 Values must equal those of rows that are placed already, so the hash functions are the published ones: MurmurHash3
 x64 128 (first half, little-endian), triple DES with a null key on one block, and the 31-polynomial of bytes that starts
-with their number. Columns go through pandas UDFs that hash a batch's distinct values once; the engine hashes
+with their number. Columns go through Arrow UDFs that hash a batch's distinct values once; the engine hashes
 literals of a predicate on the driver and prunes partitions by the results.
 """
 
@@ -14,8 +14,7 @@ from collections.abc import Callable, Sequence
 from functools import lru_cache
 from typing import Any
 
-import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -86,7 +85,7 @@ def null_key_encrypt(blocks: bytes) -> bytes:
 def index_of(value: Any) -> int:
     """The number that stands for a key: an integer itself; of other values, an unsigned 64-bit number that their
     text writes, else the hash of the text, trimmed and in lower case."""
-    if isinstance(value, (int, np.integer)) and not isinstance(value, bool):
+    if isinstance(value, int) and not isinstance(value, bool):
         return int(value)
     text = value.decode() if isinstance(value, bytes) else str(value)
     if text.isascii() and text.isdigit() and int(text) <= _64:
@@ -95,6 +94,8 @@ def index_of(value: Any) -> int:
 
 
 def keyspace_ids(values: Sequence[Any]) -> list[bytes]:
+    if not values:
+        return []
     blocks = b"".join((index_of(v) & _64).to_bytes(8, "big") for v in values)
     out = null_key_encrypt(blocks)
     return [out[i : i + 8] for i in range(0, len(out), 8)]
@@ -157,32 +158,27 @@ def split_by_long(value: Any, n: int) -> int:
 ALGORITHMS: dict[str, Callable[[Any, int], int]] = {"ShardTableByMurmur": split_by_murmur, "TableRuleMod": split_by_polynomial, "ShardTableByLong": split_by_long}
 
 
-def _each_distinct(of: Callable[[list], list[int]]) -> Callable[[pd.Series], pd.Series]:
-    def run(keys: pd.Series) -> pd.Series:
-        codes, values = pd.factorize(keys)
-        out = np.append(np.asarray(of([v.item() if isinstance(v, np.generic) else v for v in values]) if len(values) else [], dtype="float64"), np.nan)
-        return pd.Series(out[codes]).astype("Int32")
-
-    return run
+def _each_distinct(of: Callable[[list], list[int]], keys: pa.Array) -> pa.Array:
+    coded = keys.dictionary_encode()
+    numbers = pa.array(of(coded.dictionary.to_pylist()), pa.int32())
+    return numbers.take(coded.indices)
 
 
 def shard_column(key: Column, shards: Sequence[str]) -> Column:
     """The shard's number; null for a null key."""
-    run = _each_distinct(lambda values: shards_of(values, shards))
 
-    @F.pandas_udf("int")
-    def shard(keys: pd.Series) -> pd.Series:
-        return run(keys)
+    @F.arrow_udf("int")
+    def shard(keys: pa.Array) -> pa.Array:
+        return _each_distinct(lambda values: shards_of(values, shards), keys)
 
     return shard(key)
 
 
 def split_column(key: Column, algorithm: str, n: int) -> Column:
     function = ALGORITHMS[algorithm]
-    run = _each_distinct(lambda values: [function(v, n) for v in values])
 
-    @F.pandas_udf("int")
-    def split(keys: pd.Series) -> pd.Series:
-        return run(keys)
+    @F.arrow_udf("int")
+    def split(keys: pa.Array) -> pa.Array:
+        return _each_distinct(lambda values: [function(v, n) for v in values], keys)
 
     return split(key)
