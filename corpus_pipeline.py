@@ -18,9 +18,8 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Documents whose score is below the threshold. Labels teach by the documents that carry them, but for those held
     out; no label is looked at to decide on a document."""
     ship(spark)
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select(F.col("doc_id").alias("label_id"), "toxic")
-    labelled = docs.select("doc_id", "text").join(labels, F.col("doc_id") == F.col("label_id")).filter(toxicity.remainder(F.col("doc_id")) != 1)
-    scored = toxicity.score(docs, toxicity.learn(labelled.select("doc_id", "text", "toxic")))
+    labelled = toxicity.with_labels(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    scored = toxicity.score(docs, toxicity.learn(labelled))
     return scored.filter(F.col("score") < toxicity.TOXIC).select(*docs.columns)
 
 

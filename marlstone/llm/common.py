@@ -9,7 +9,9 @@ import zipfile
 from collections.abc import Iterator
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -87,6 +89,42 @@ class Scratch:
         self.close()
 
 
+#: Bits of the filter that keeps rows which a join will not need from being shuffled.
+FILTER_BITS = 23
+
+
+def id_filter(ids: DataFrame) -> np.ndarray:
+    """A bitmap of 2^FILTER_BITS bits of the hashes of the ids, the only column."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.zeros(1 << FILTER_BITS, dtype=bool)
+        for batch in batches:
+            bits[batch.column(0).to_numpy()] = True
+        yield record(pa.schema([("bits", pa.binary())]), [[zstandard.compress(np.packbits(bits).tobytes(), 3)]])
+
+    out = np.zeros(1 << (FILTER_BITS - 3), dtype=np.uint8)
+    places = ids.select(F.pmod(F.xxhash64(ids.columns[0]), F.lit(1 << FILTER_BITS)).cast("long").alias("h"))
+    for r in places.coalesce(16).mapInArrow(run, "bits binary").toLocalIterator():
+        out |= np.frombuffer(zstandard.decompress(r["bits"]), dtype=np.uint8)
+    return out
+
+
+def likely(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of docs(doc_id, ...) whose ids are among `ids`, and some others: a bitmap of fixed size is broadcast,
+    which drops most other rows while it is not full. A join by id has to follow."""
+    bits = docs.sparkSession.sparkContext.broadcast(id_filter(ids))
+    names = docs.columns
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << FILTER_BITS)).cast("long")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        passing = np.unpackbits(bits.value).astype(bool)
+        for batch in batches:
+            kept = batch.filter(pa.array(passing[batch.column(0).to_numpy()]))
+            yield pa.RecordBatch.from_arrays(kept.columns[1:], names=names)
+
+    return docs.select(place.alias("__place"), *names).mapInArrow(run, docs.schema)
+
+
 def stored_bytes(df: DataFrame) -> int:
     """The optimiser's estimate of the size of df."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))

@@ -6,9 +6,9 @@ one class's counts is judged by shared ones and hardly moves the balance. A word
 model less that in the ordinary one. A document's balance, normalised by its length, and those of its most toxic
 words and their share are weighed by a logistic regression, which is fitted on documents that the models had not seen.
 
-What is learnt: counts come from all labelled rows given, and grow with them. What is kept is bounded: MAX_GRAMS
-n-grams (the most frequent ones, exactly counted; the mass of the others goes to the shared distributions) and a
-regression fitted on at most MAX_FIT documents, those with the smallest digests of their ids.
+What is learnt: counts come from all labelled rows given, and grow with them. What is kept is bounded: at
+most MAX_GRAMS n-grams (the most frequent ones, exactly counted; the mass of the others goes to the shared distributions)
+and a regression fitted on about MAX_FIT documents at most, chosen by digests of their ids.
 
 Defined results: a null or empty text, or one without letters, has balance 0 and gets the score of such a text; repeated
 rows get equal scores; an empty table gives no rows; without labels of both classes every score is the share of
@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marlstone.llm.common import cut, id_text, record, table, texts_of
+from marlstone.llm.common import Scratch, id_text, likely, record, table, texts_of
 
 ORDER = 6
 MAX_GRAMS = 1 << 18
@@ -118,8 +118,8 @@ def kneser_ney(counts: dict[str, tuple[int, int]]) -> Model:
     return Model(gram, {h: log(b / a) for h, (a, b) in left.items()})
 
 
-#: Balance a letter; balance of the most toxic word; means of the 3 and 8 most toxic; shares of words over 1.5 and 4; log of the words
-FEATURES = 7
+#: Balance a letter; balance of the most toxic word; means of the 3 and 8 most toxic; shares of words over 1.5 and 4
+FEATURES = 6
 
 
 def features(text: str, balance: Callable[[str], float]) -> list[float]:
@@ -128,7 +128,7 @@ def features(text: str, balance: Callable[[str], float]) -> list[float]:
         return [0.0] * FEATURES
     each = np.fromiter(map(balance, words), dtype=float, count=len(words))
     top = np.sort(np.partition(each, len(each) - 8)[-8:] if len(each) > 8 else each)[::-1]
-    return [float(each.sum() / sum(map(len, words))), float(top[0]), float(top[:3].sum() / 3), float(top.sum() / 8), float((each > 1.5).mean()), float((each > 4).mean()), log(len(words))]
+    return [float(each.sum() / sum(map(len, words))), float(top[0]), float(top[:3].sum() / 3), float(top.sum() / 8), float((each > 1.5).mean()), float((each > 4).mean())]
 
 
 def remembering(model: Model) -> Callable[[str], float]:
@@ -220,22 +220,39 @@ def with_features(docs: DataFrame, models: dict[int, Model], by: str) -> DataFra
     return kept.mapInArrow(run, f"{schema}, features array<double>")
 
 
+def frequent(counts: DataFrame, most: int) -> DataFrame:
+    """The grams of counts that are at least as frequent as the rarest of the `most` most frequent; those as frequent as
+    the first that is left out go with it. The frequency is read off a table of frequencies, so nothing is sorted."""
+    totals = counts.groupBy("gram").agg(F.sum(F.col("ordinary") + F.col("toxic")).alias("n"))
+    least, held = 0, 0
+    for r in sorted(totals.groupBy("n").count().collect(), key=lambda r: -r["n"]):
+        held += r["count"]
+        if held > most:
+            break
+        least = r["n"]
+    return totals.filter(F.col("n") >= least).select("gram") if held <= most or least else totals.limit(0).select("gram")
+
+
 def learn(labelled: DataFrame, max_grams: int = MAX_GRAMS, max_fit: int = MAX_FIT) -> Scorer:
     """From labelled(doc_id, text, toxic). The two halves of the ids' digests teach a model each, which gives the
     features of the other half for the regression; scores use both halves' counts."""
-    half = F.pmod(F.crc32(F.concat(F.lit("half:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))).cast("binary")), F.lit(2)).cast("int")
+    key = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
+    half = F.pmod(F.crc32(F.concat(F.lit("half:"), key).cast("binary")), F.lit(2)).cast("int")
     rows = labelled.filter(F.col("toxic").isin(0, 1)).select("doc_id", "text", F.col("toxic").cast("int").alias("toxic"), half.alias("half"))
-    counts = cut(count_grams(rows))
-    totals = counts.groupBy("gram").agg(F.sum(F.col("ordinary") + F.col("toxic")).alias("n"))
-    top = totals.orderBy(F.desc("n"), "gram").limit(max_grams)
-    both: list[dict[str, tuple[int, int]]] = [{}, {}]
-    for r in counts.join(top.select("gram"), "gram").toLocalIterator():
-        both[r["half"]][r["gram"]] = (r["ordinary"], r["toxic"])
-    # each half's model gives the features of the other
-    models = {1 - h: kneser_ney(c) for h, c in enumerate(both)}
-    whole = {g: tuple(sum(c.get(g, (0, 0))[k] for c in both) for k in (0, 1)) for g in {**both[0], **both[1]}}
-    fit = rows.orderBy(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))), "toxic").limit(max_fit) if rows.count() > max_fit else rows
-    got = with_features(fit, models, "half").select("toxic", "features").toPandas()
+    with Scratch(labelled.sparkSession) as scratch:
+        rows = scratch.cut(rows)
+        counts = scratch.cut(count_grams(rows))
+        both: list[dict[str, tuple[int, int]]] = [{}, {}]
+        for r in counts.join(frequent(counts, max_grams), "gram").toLocalIterator():
+            both[r["half"]][r["gram"]] = (r["ordinary"], r["toxic"])
+        # each half's model gives the features of the other
+        models = {1 - h: kneser_ney(c) for h, c in enumerate(both)}
+        whole = {g: tuple(sum(c.get(g, (0, 0))[k] for c in both) for k in (0, 1)) for g in {**both[0], **both[1]}}
+        del both
+        share = max_fit / max(rows.count(), 1)
+        place = F.pmod(F.xxhash64(F.concat(F.lit("fit:"), key)), F.lit(1 << 20))
+        fit = rows.filter(place < int(share * (1 << 20))) if share < 1 else rows
+        got = with_features(fit, models, "half").select("toxic", "features").toPandas()
     y = got["toxic"].to_numpy(dtype=float)
     base = float(y.mean()) if len(y) else 0.0
     none = np.zeros(0)
@@ -267,16 +284,16 @@ def remainder(doc_id) -> F.Column:
     return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(3))
 
 
-def labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents with their labels; one with several labels counts with each."""
-    docs = id_text(table(spark, sf_dir, "documents"))
-    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
-    return docs.join(labels, "doc_id").filter(remainder(F.col("doc_id")) != 1)
+def with_labels(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """doc_id, text and toxic of the documents that may teach: those with a label that are not held out. One with
+    several labels counts with each. Only texts that the labels ask for are shuffled, at every size of the labels."""
+    taught = labels.select(F.col("doc_id").cast("long").alias("doc_id"), "toxic").filter(remainder(F.col("doc_id")) != 1)
+    return likely(id_text(docs), taught.select("doc_id")).join(taught.hint("merge"), "doc_id")
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scorer = learn(labelled_documents(spark, sf_dir))
     docs = id_text(table(spark, sf_dir, "documents"))
+    scorer = learn(with_labels(docs, table(spark, sf_dir, "labels")))
     held = F.coalesce(remainder(F.col("doc_id")) == 1, F.lit(False))
     return score(docs, scorer).select("doc_id", held.alias("held_out"), "score", (F.col("score") >= TOXIC).cast("int").alias("predicted"))
 
