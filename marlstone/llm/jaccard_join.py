@@ -5,7 +5,7 @@ by a frequency class and the shingle's hash. If two sets of sizes x and y have a
 share at least a = ceil(3 (x + y) / 7) shingles, so their first l shared ones lie among the first x - a + l of the one
 and the first y - a + l of the other. A node chooses its l by the estimated cost of its candidates: a prefix longer by
 one shingle costs one more row and asks each candidate for one more match. Two nodes are a candidate pair if they
-share min(l, l') shingles at such places; candidates' whole sets are compared.
+share min(l, l') shingles at such places. What their prefixes share in all must leave a chance; then whole sets are compared.
 
 Frequencies come from a sketch of fixed size (a count of all shingles by 2^SKETCH_BITS buckets), over all documents.
 They only order shingles and price prefixes: any estimate gives the same links.
@@ -30,7 +30,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marlstone.llm.common import Scratch, cut, id_text, record, table, texts_of
+from marlstone.llm.common import Scratch, cut, id_text, likely, record, table, texts_of
 from marlstone.llm.components import components
 from marlstone.llm.shingles import node_of, shingler
 
@@ -40,8 +40,6 @@ MOST_MATCHES = 4
 CANDIDATE_COST = 1.0
 #: Estimated frequency from which a shingle's list is dealt over SALTS tasks.
 HOT, SALTS = 10_000, 64
-#: Bits of the filter that keeps texts which no pair needs from being shuffled.
-FILTER_BITS = 23
 #: Nodes whose prefixes a task remembers to have sent.
 SENT = 500_000
 
@@ -182,64 +180,58 @@ def shared_rows(rows: DataFrame) -> DataFrame:
     return dealt.mapInArrow(run, rows.schema).drop("salt")
 
 
-def id_filter(ids: DataFrame) -> np.ndarray:
-    """A bitmap of 2^FILTER_BITS bits of the ids' hashes (column `h`)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.zeros(1 << FILTER_BITS, dtype=bool)
-        for batch in batches:
-            bits[batch.column(0).to_numpy()] = True
-        yield record(pa.schema([("bits", pa.binary())]), [[zstandard.compress(np.packbits(bits).tobytes(), 3)]])
-
-    out = np.zeros(1 << (FILTER_BITS - 3), dtype=np.uint8)
-    for r in ids.select(F.pmod("h", F.lit(1 << FILTER_BITS)).cast("long").alias("h")).coalesce(16).mapInArrow(run, "bits binary").toLocalIterator():
-        out |= np.frombuffer(zstandard.decompress(r["bits"]), dtype=np.uint8)
-    return out
-
-
-def sets_of(docs: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame:
-    """node and its shingles, sorted, as bytes, of the wanted nodes. One document stands for each node; a filter of
-    fixed size keeps most others from being shingled and shuffled, and a join settles the rest."""
+def texts_of_nodes(docs: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame:
+    """node and its text, compressed, of the wanted nodes. One document stands for each node; a filter of fixed size
+    keeps most others from being shingled and shuffled, and a join settles the rest."""
     ids = nodes.join(wanted, "node").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    bits = docs.sparkSession.sparkContext.broadcast(id_filter(ids.select(F.xxhash64("doc_id").alias("h"))))
-    rows = docs.withColumn("h", F.pmod(F.xxhash64("doc_id"), F.lit(1 << FILTER_BITS)).cast("long"))
-    schema = pa.schema([("node", pa.int64()), ("shingles", pa.binary())])
+    rows = likely(docs, ids.select("doc_id"))
+    schema = pa.schema([("node", pa.int64()), ("text", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles, passing = shingler(), np.unpackbits(bits.value).astype(bool)
+        shingles, pack = shingler(), zstandard.ZstdCompressor(level=3).compress
         for batch in batches:
-            batch = batch.filter(pa.array(passing[batch.column(2).to_numpy()]))
             out: list[tuple[int, bytes]] = []
             for text in texts_of(batch):
                 s = shingles(text)
                 if len(s):
-                    out.append((node_of(s), s.tobytes()))
+                    out.append((node_of(s), pack(text.encode())))
                 if len(out) >= 500:
                     yield record(schema, list(map(list, zip(*out, strict=True))))
                     out = []
             if out:
                 yield record(schema, list(map(list, zip(*out, strict=True))))
 
-    found = rows.mapInArrow(run, "node long, shingles binary")
+    found = rows.mapInArrow(run, "node long, text binary")
     return found.join(wanted, "node", "left_semi").dropDuplicates(["node"])
 
 
-def verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, scratch: Scratch) -> DataFrame:
+def promising(pairs: DataFrame, rows: DataFrame) -> DataFrame:
+    """The pairs(a, b) that their prefixes leave a chance: what two sets share beyond their prefixes lies in the rest
+    of the one whose prefix ends first, so they share no more than their prefixes do and the larger rest holds."""
+    pairs = pairs.select("a", "b").distinct()
+    side = lambda s: rows.select("token", F.col("node").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in ("n", "matches")])
+    met = pairs.join(side("a"), "a").join(side("b"), ["b", "token"])
+    counted = met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("k"), *[F.first(c).alias(c) for c in ("n_a", "n_b", "matches_a", "matches_b")])
+    rest = [F.ceil(3 * F.col(f"n_{s}") / 4) - F.col(f"matches_{s}") for s in "ab"]  # sizes less the prefixes' lengths
+    return counted.filter(F.col("k") + F.greatest(*rest) >= least_shared(F.col("n_a"), F.col("n_b"))).select("a", "b")
+
+
+def verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, rows: DataFrame, scratch: Scratch) -> DataFrame:
     """The pairs(a, b) whose sets are similar."""
-    pairs = scratch.cut(pairs.select("a", "b").distinct())
+    pairs = scratch.cut(promising(pairs, rows))
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    sets = scratch.cut(sets_of(docs, nodes, wanted))
-    left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("x"))
-    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
+    texts = scratch.cut(texts_of_nodes(docs, nodes, wanted))
+    left = texts.select(F.col("node").alias("a"), F.col("text").alias("x"))
+    right = texts.select(F.col("node").alias("b"), F.col("text").alias("y"))
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingles, unpack = shingler(), zstandard.ZstdDecompressor().decompress
         for batch in batches:
             keep = []
             for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                p, q = (np.frombuffer(v.as_buffer(), dtype=np.uint64) for v in (x, y))
-                at = np.searchsorted(q, p)
-                both = int((q[np.minimum(at, len(q) - 1)] == p).sum())
+                p, q = (shingles(unpack(v.as_py()).decode()) for v in (x, y))
+                both = len(np.intersect1d(p, q, assume_unique=True))
                 keep.append(100 * both >= 75 * (len(p) + len(q) - both))
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(keep, pa.bool_())), batch.column(1).filter(pa.array(keep, pa.bool_()))], schema=schema)
 
@@ -279,9 +271,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         nodes = both.filter(F.col("block").isNull()).select("doc_id", "node", "n")
         sketch = whole_sketch(both.filter(F.col("block").isNotNull()).select("block", "counts"))
         shared = scratch.cut(shared_rows(prefix_rows(rows, sketch)))
-        links = verified(rows, nodes, star_pairs(shared), scratch)
+        links = verified(rows, nodes, star_pairs(shared), shared, scratch)
         first = components(links, scratch)
-        links = links.unionByName(verified(rows, nodes, cross_pairs(shared, first, scratch), scratch))
+        links = links.unionByName(verified(rows, nodes, cross_pairs(shared, first, scratch), shared, scratch))
         whole = components(links, scratch)
         degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
         placed = nodes.join(whole, "node", "left").join(degree, "node", "left").withColumn("component", F.coalesce("component", "node"))
@@ -306,7 +298,24 @@ def keep_one(docs: DataFrame) -> DataFrame:
 
 
 def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "n_links")
-
-
+    return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+SQL = {
+    "op2_jaccard_join": r"""
+with recursive words as (
+    select doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w from documents
+), sets as (
+    select doc_id, list_distinct(case when len(w) >= 5 then list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) when len(w) > 0 then [array_to_string(w, ' ')] else [] end) as s from words
+), shingles as (
+    select doc_id, unnest(s) as t from sets
+), shared as (
+    select a.doc_id as x, b.doc_id as y, count(*) as k from shingles a join shingles b on a.t = b.t and a.doc_id <> b.doc_id group by all
+), links as (
+    select x, y from shared join sets p on p.doc_id = x join sets q on q.doc_id = y where 100 * k >= 75 * (len(p.s) + len(q.s) - k)
+), reached(x, y) as (
+    select x, y from links union select r.x, l.y from reached r join links l on r.y = l.x
+)
+select doc_id, len(s)::bigint as n_shingles, least(doc_id, coalesce((select min(y) from reached where x = doc_id), doc_id)) as component_id from sets""",
+}
 QUERIES = {"op2_jaccard_join": op2_jaccard_join}
