@@ -170,7 +170,27 @@ def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     conv, text = HOSTILE
     hostile = spark.range(2).select(F.lit(conv).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(text).alias("text"))
-    return read_back(format_conversations(rows.unionByName(hostile)))
+    return read_back(format_conversations(rows.unionByName(hostile))).drop("n_tokens", "loss_tokens")
+
+
+def _escaped(x: str) -> str:
+    """Characters of the escaped text."""
+    twice = f"len(list_filter(range(1, length({x})), lambda i: {x}[i:i + 1] = '##'))"
+    times = lambda part: f"(length({x}) - length(replace({x}, '{part}', ''))) // {len(part)}"
+    return f"(length({x}) + {times(chr(92))} + {twice} + {times('</turn>')} + {times('<|')})"
+
+
+SQL = {
+    "op8_chat_formatting": f"""
+with turns as (
+    select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+    union all select -7, 0, 'user', '{HOSTILE[1]}' union all select -7, 1, 'assistant', '{HOSTILE[1]}'
+)
+select conv_id, count(*) as n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+    coalesce(sum(length(text)) filter (role = 'assistant'), 0)::bigint as loss_chars, sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (role = 'assistant'), '')) as loss_sha256,
+    sum(4 + case when role in ('user', 'assistant', 'system', 'tool') then length(role) else 1 + {_escaped("role")} + length(role) - length(replace(role, ':', '')) end + 2 + {_escaped("text")} + 8)::bigint as formatted_chars
+from turns group by conv_id""",
+}
 
 
 QUERIES = {"op8_chat_formatting": op8_chat_formatting}

@@ -146,4 +146,23 @@ def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_documents(table(spark, sf_dir, "documents"))
 
 
+_NODES = "list_transform(string_split({0}, chr(10) || chr(10)), lambda s: list_transform(string_split(s, chr(10)), lambda p: list_transform(regexp_extract_all(p, '(?s)(?:[^ ]+ ?| +){{1,8}}'), lambda x: md5(x))))"
+_PARAGRAPHS = "list_transform({0}, lambda s: list_transform(s, lambda p: md5(array_to_string(p, ','))))"
+_ROOT = "sha256(array_to_string(list_transform({0}, lambda s: md5(array_to_string(s, ';'))), '|'))"
+_WRITTEN = "{0} || ':' || array_to_string(list_transform({1}, lambda s: array_to_string(list_transform(s, lambda p: array_to_string(list_transform(p, lambda x: substr(x, 1, 8)), ',')), ';')), '|')"
+_NEAR = "case when {0} = {1} then 1.0 when len({2}) + len({3}) = 0 then 0.0 else 2.0 * len(list_intersect({2}, {3})) / (len({2}) + len({3})) end"
+
+SQL = {
+    "op4_fingerprints": f"""
+with docs as (select doc_id, coalesce(text, '') as text from documents),
+followed as (select *, coalesce(lead(text) over (order by doc_id desc), first_value(text) over (order by doc_id desc)) as next from docs),
+texts as (select *, substr(text, 1, length(text) - length(text) // 2) || substr(next, 1, length(text) // 2) as edited from followed),
+trees as (select *, {_NODES.format("text")} as a, {_NODES.format("edited")} as e, {_NODES.format("next")} as n from texts),
+digests as (select *, {_PARAGRAPHS.format("a")} as pa, {_PARAGRAPHS.format("e")} as pe, {_PARAGRAPHS.format("n")} as pn from trees),
+roots as (select *, {_ROOT.format("pa")} as ra, {_ROOT.format("pe")} as re, {_ROOT.format("pn")} as rn, list_distinct(flatten(flatten(a))) as la, list_distinct(flatten(flatten(e))) as le, list_distinct(flatten(flatten(n))) as ln, flatten(pa) as fa, flatten(pe) as fe from digests)
+select doc_id, length(text)::bigint as n_chars, sha256(edited) as edited_sha256, {_WRITTEN.format("ra", "a")} as fingerprint, {_WRITTEN.format("re", "e")} as edited_fingerprint,
+    {_NEAR.format("ra", "re", "la", "le")} as near_edited, {_NEAR.format("ra", "rn", "la", "ln")} as near_next,
+    list_position(list_transform(range(1, greatest(len(fa), len(fe)) + 1), lambda i: fa[i] is distinct from fe[i]), true) - 1 as edited_paragraph
+from roots""",
+}
 QUERIES = {"op4_fingerprints": op4_fingerprints}

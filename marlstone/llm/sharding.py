@@ -73,4 +73,23 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
+_DRAW = "('0x' || substr(md5(doc_id::varchar || ':{0}'), 1, 13))::bigint"
+_SHARD = "list_aggregate([{0}], 'max').s"
+
+
+def _shard(n: int) -> str:
+    return _SHARD.format(", ".join(f"{{'d': {_DRAW.format(i)}, 's': {i}}}" for i in range(n)))
+
+
+SQL = {
+    "op5_sharding": f"""
+with crc as (
+    select list(c order by i) as t from (select i, list_reduce(list_prepend(i, range(8)), lambda c, k: case when c % 2 = 1 then xor(c // 2, 3988292384) else c // 2 end) as c from range(256) r(i))
+), placed as (
+    select doc_id, strlen(coalesce(text, '')) + 8 as size, hex(encode(coalesce(text, ''))) as h, {_shard(SHARDS)} as shard, {_shard(SHARDS + 1)} as grown_shard, {_DRAW.format("part")} % {PARTS} as part from documents
+), summed as (
+    select *, xor(list_reduce(list_prepend(4294967295, list_transform(range(0, size - 8), lambda i: ('0x' || h[2 * i + 1:2 * i + 2])::bigint)), lambda c, b: xor(c // 256, t[xor(c % 256, b) + 1])), 4294967295) as text_crc32 from placed, crc
+)
+select doc_id, size::bigint as size, text_crc32::bigint as text_crc32, 'key' as law, shard::int as shard, (row_number() over (partition by shard order by part, doc_id, text_crc32, size) - 1)::bigint as slot, grown_shard::int as grown_shard from summed""",
+}
 QUERIES = {"op5_sharding": op5_sharding}
