@@ -15,10 +15,11 @@ from functools import lru_cache
 from typing import Any
 
 import pyarrow as pa
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from marlstone.plans.errors import SqlError
+from marlstone.shipping import ship
 
 _64 = (1 << 64) - 1
 #: Multipliers of MurmurHash3 x64 128; fixed values.
@@ -166,6 +167,7 @@ def _each_distinct(of: Callable[[list], list[int]], keys: pa.Array) -> pa.Array:
 
 def shard_column(key: Column, shards: Sequence[str]) -> Column:
     """The shard's number; null for a null key."""
+    ship(SparkSession.active())
 
     @F.arrow_udf("int")
     def shard(keys: pa.Array) -> pa.Array:
@@ -176,6 +178,7 @@ def shard_column(key: Column, shards: Sequence[str]) -> Column:
 
 def split_column(key: Column, algorithm: str, n: int) -> Column:
     function = ALGORITHMS[algorithm]
+    ship(SparkSession.active())
 
     @F.arrow_udf("int")
     def split(keys: pa.Array) -> pa.Array:
