@@ -5,9 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-import zipfile
 from collections.abc import Iterator
-from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -19,19 +17,6 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def ship(spark: SparkSession) -> None:
-    """Send this package to the executors, once a session, as Spark sends any Python library."""
-    top = Path(__file__).resolve().parents[1]
-    sc = spark.sparkContext
-    if getattr(sc, f"_{top.name}_sent", False):
-        return
-    with zipfile.ZipFile(Path(tempfile.mkdtemp()) / f"{top.name}.zip", "w") as z:
-        for p in sorted(top.rglob("*.py")):
-            z.write(p, p.relative_to(top.parent))
-    sc.addPyFile(z.filename)
-    setattr(sc, f"_{top.name}_sent", True)
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
