@@ -131,7 +131,7 @@ class Delete:
 
 @dataclass
 class Command:
-    """SET, SHOW, BEGIN, COMMIT, ROLLBACK, USE"""
+    """SET, SHOW, BEGIN, COMMIT, ROLLBACK, USE; NEXT with a number and a sequence's name"""
 
     verb: str
     words: tuple[str, ...]

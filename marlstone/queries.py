@@ -43,7 +43,7 @@ TEXTS: dict[str, tuple[str, str | None]] = {
     "index_hints": ("select c_name from customer use index (pk) ignore index (a, b) where c_custkey < 20 for update", "select c_name from customer where c_custkey < 20"),
     # predicates
     "filter_comparisons": ("select p_partkey from part where p_size != 5 and p_size <> 6 and p_size >= 3 and p_size < 40 and p_retailprice > 900 and not p_size <= 4", "select p_partkey from part where p_size <> 5 and p_size <> 6 and p_size >= 3 and p_size < 40 and p_retailprice > 900 and p_size > 4"),
-    "filter_null_safe": ("select c_custkey from customer left join orders on c_custkey = o_custkey where o_orderkey <=> null", "select c_custkey from customer left join orders on c_custkey = o_custkey where o_orderkey is null"),
+    "filter_null_safe": ("select c_custkey from customer left join orders on c_custkey = o_custkey and o_totalprice > 250000 where o_orderkey <=> null", "select c_custkey from customer left join orders on c_custkey = o_custkey and o_totalprice > 250000 where o_orderkey is null"),
     "filter_and_or_xor": ("select p_partkey from part where (p_size > 25 xor p_retailprice > 1200) || false or p_size = 1 && p_brand like '%1'", "select p_partkey from part where (p_size > 25) <> (p_retailprice > 1200) or (p_size = 1 and p_brand like '%1')"),
     "filter_is": ("select c_custkey, c_acctbal is null as a, (c_acctbal > 0) is true as b, (c_acctbal > 0) is not false as c from customer", "select c_custkey, c_acctbal is null as a, (c_acctbal > 0) is true as b, (c_acctbal > 0) is not false as c from customer"),
     "filter_between": ("select l_orderkey, l_linenumber from lineitem where l_quantity between 10 and 12 and l_discount not between 0.02 and 0.08", None),
@@ -55,7 +55,7 @@ TEXTS: dict[str, tuple[str, str | None]] = {
     "filter_numeric_truth": ("select n_nationkey, if(n_regionkey, 'other', 'first') as k from nation where n_nationkey and !(n_regionkey)", "select n_nationkey, case when n_regionkey <> 0 then 'other' else 'first' end as k from nation where n_nationkey <> 0 and n_regionkey = 0"),
     "filter_bit_operators": ("select o_orderkey, o_orderkey & 7 as a, o_orderkey | 8 as b, o_orderkey ^ 3 as c, o_orderkey << 2 as d, o_orderkey >> 1 as e, ~o_orderkey as f from orders where o_orderkey < 500", "select o_orderkey, o_orderkey & 7 as a, o_orderkey | 8 as b, xor(o_orderkey, 3::bigint) as c, o_orderkey << 2 as d, o_orderkey >> 1 as e, ~o_orderkey as f from orders where o_orderkey < 500"),
     "filter_json": ("select event_id, props->>'$.k' as k, json_extract(props, '$.page') as p from events where event_id < 300", "select event_id, props->>'$.k' as k, props->>'$.page' as p from events where event_id < 300"),
-    "filter_sounds_like": ("select c_custkey from customer where c_name sounds like 'Kustomer' and c_custkey < 50", "select c_custkey from customer where false"),
+    "filter_sounds_like": ("select c_custkey from customer where c_mktsegment sounds like 'bilding'", "select c_custkey from customer where c_mktsegment = 'BUILDING'"),
     "filter_collate": ("select c_custkey from customer where c_mktsegment collate utf8_general_ci = 'building'", "select c_custkey from customer where lower(c_mktsegment) = 'building'"),
     # joins
     "join_inner": ("select o_orderkey, c_name, o_totalprice from orders inner join customer on o_custkey = c_custkey where o_totalprice > 300000", None),
@@ -67,7 +67,7 @@ TEXTS: dict[str, tuple[str, str | None]] = {
     "join_right": ("select o_orderkey, c_custkey from orders right join customer on o_custkey = c_custkey", None),
     "join_full": ("select n_nationkey, s_suppkey from nation full outer join supplier on n_nationkey = s_nationkey and s_acctbal > 5000", None),
     "join_semi": ("select c_custkey from customer left semi join orders on c_custkey = o_custkey and o_totalprice > 250000", "select c_custkey from customer where exists (select 1 from orders where c_custkey = o_custkey and o_totalprice > 250000)"),
-    "join_anti": ("select c_custkey from customer left anti join orders on c_custkey = o_custkey", "select c_custkey from customer where not exists (select 1 from orders where c_custkey = o_custkey)"),
+    "join_anti": ("select c_custkey from customer left anti join orders on c_custkey = o_custkey and o_totalprice > 250000", "select c_custkey from customer where not exists (select 1 from orders where c_custkey = o_custkey and o_totalprice > 250000)"),
     "join_straight": ("select n_name, r_name from nation straight_join region on n_regionkey = r_regionkey", "select n_name, r_name from nation join region on n_regionkey = r_regionkey"),
     "join_natural": ("select a.n_name, b.cnt from nation a natural join (select n_nationkey, count(*) as cnt from nation group by n_nationkey) b", "select a.n_name, b.cnt from nation a join (select n_nationkey, count(*) as cnt from nation group by n_nationkey) b using (n_nationkey)"),
     "join_using": ("select doc_id, lang, toxic from documents join labels using (doc_id)", None),
@@ -81,11 +81,11 @@ TEXTS: dict[str, tuple[str, str | None]] = {
     "subquery_scalar_empty_is_null": ("select n_nationkey, (select r_name from region where r_regionkey = -1) as r from nation", None),
     "subquery_in_select_list": ("select n_nationkey, (select r_name from region where r_regionkey = n_regionkey) as r from nation", None),
     "subquery_in": ("select c_custkey from customer where c_custkey in (select o_custkey from orders where o_totalprice > 250000)", None),
-    "subquery_not_in": ("select c_custkey from customer where c_custkey not in (select o_custkey from orders)", None),
+    "subquery_not_in": ("select c_custkey from customer where c_custkey not in (select o_custkey from orders where o_totalprice > 250000)", None),
     "subquery_not_in_empty": ("select n_nationkey from nation where n_regionkey not in (select r_regionkey from region where r_regionkey < 0)", None),
     "subquery_not_in_null": ("select n_nationkey from nation where n_regionkey not in (select nullif(r_regionkey, 1) from region)", None),
     "subquery_exists": ("select c_custkey from customer c where exists (select 1 from orders o where o.o_custkey = c.c_custkey and o.o_orderstatus = 'F')", None),
-    "subquery_not_exists": ("select s_suppkey from supplier where not exists (select * from lineitem where l_suppkey = s_suppkey and l_quantity > 49)", None),
+    "subquery_not_exists": ("select s_suppkey from supplier where not exists (select * from lineitem where l_suppkey = s_suppkey and l_quantity > 49 and l_discount < 0.01)", None),
     "subquery_correlated_scalar": ("select c_custkey, (select max(o_totalprice) from orders where o_custkey = c_custkey) as m from customer", None),
     "subquery_any": ("select n_nationkey from nation where n_nationkey > any (select r_regionkey * 5 from region)", "select n_nationkey from nation where n_nationkey > (select min(r_regionkey * 5) from region)"),
     "subquery_all": ("select n_nationkey from nation where n_nationkey >= all (select r_regionkey * 5 from region)", "select n_nationkey from nation where n_nationkey >= (select max(r_regionkey * 5) from region)"),

@@ -38,6 +38,8 @@ class Table:
     auto_increment: str | None = None
     sequence: IdSequence | None = None
     store: Store | None = None
+    #: Of other columns: the keys of rows with certain values, or None if there are too many.
+    lookups: dict[str, Callable[[Sequence[Any]], list[Any] | None]] = field(default_factory=dict)
     views: dict[tuple[int, ...] | None, str] = field(default_factory=dict)
 
     @property
@@ -89,6 +91,22 @@ class Catalog:
 
         return self.add(Table(name, read, "sharded", key, tuple(shards)), keyspace)
 
+    def add_sequence(self, name: str, next_id: int = 1, cache: int = 1000, keyspace: str | None = None) -> Table:
+        """A sequence table, for SELECT NEXT n VALUES."""
+        sequence = IdSequence(next_id, cache)
+        row = lambda parts: self.spark.createDataFrame([(0, sequence.next_id, sequence.cache)], "id int, next_id long, cache long")
+        return self.add(Table(name, row, "sequence", sequence=sequence), keyspace)
+
+    def add_lookup(self, table: Table, column: str, rows: DataFrame, value: str, key: str, most: int = 10_000) -> None:
+        """A lookup table for another column of a sharded table: rows' `value` holds the column's values and `key` the
+        shard keys of their rows. Values with more than `most` keys are looked for everywhere."""
+
+        def keys_of(values: Sequence[Any]) -> list[Any] | None:
+            found = rows.filter(F.col(value).isin(list(values))).select(key).distinct().limit(most + 1).collect()
+            return [r[0] for r in found] if len(found) <= most else None
+
+        table.lookups[column] = keys_of
+
     def add_split(self, name: str, actual: Mapping[str, DataFrame], key: str, algorithm: str, keyspace: str | None = None) -> Table:
         """A logical table of several actual ones; only those that a predicate on the key asks for are read."""
         frames = list(actual.values())
