@@ -142,7 +142,7 @@ def digests(texts: list[str], known: dict[str, list[int]], words: WordTable) ->
 def encode_decode(docs: DataFrame, path: str, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every whole text."""
     rows = id_text(docs)
-    buckets = min(max(stored_bytes(docs) // BUCKET_BYTES, 16), 1 << 16)
+    buckets = min(max(stored_bytes(docs) // BUCKET_BYTES, 16), 1 << 20)
 
     def list_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("bucket", pa.int32()), ("chunk", pa.int64()), ("words", pa.binary())])
