@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from contextlib import suppress
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -101,6 +104,7 @@ def likely(docs: DataFrame, ids: DataFrame) -> DataFrame:
     names = docs.columns
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << FILTER_BITS)).cast("long")
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         passing = np.unpackbits(bits.value).astype(bool)
         for batch in batches:
@@ -125,6 +129,21 @@ def one_thread() -> None:
     os.environ["RAYON_NUM_THREADS"] = "1"
 
 
+def tidied(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """run, after which the memory it no longer uses goes back to the system: a worker stays for other tasks."""
+
+    @wraps(run)
+    def inner(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            with suppress(OSError, AttributeError):
+                ctypes.CDLL(None).malloc_trim(0)
+
+    return inner
+
+
 def texts_of(batch: pa.RecordBatch, name: str = "text") -> Iterator[str]:
     """The column's values as str, null as the empty text, without a list of all of them."""
     for value in batch.column(batch.schema.get_field_index(name)):

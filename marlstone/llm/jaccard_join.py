@@ -30,7 +30,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marlstone.llm.common import Scratch, cut, id_text, likely, record, table, texts_of
+from marlstone.llm.common import Scratch, cut, id_text, likely, record, table, texts_of, tidied
 from marlstone.llm.components import components
 from marlstone.llm.shingles import node_of, shingler
 
@@ -57,6 +57,7 @@ def nodes_and_sketch(docs: DataFrame) -> DataFrame:
     """Rows of two kinds: doc_id, node and n of each document; and blocks of the tasks' counts of shingles."""
     schema = pa.schema([("doc_id", pa.int64()), ("node", pa.int64()), ("n", pa.int64()), ("block", pa.int32()), ("counts", pa.binary())])
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = shingler()
         sketch = np.zeros(1 << SKETCH_BITS, dtype=np.uint32)
@@ -120,6 +121,7 @@ def prefix_rows(docs: DataFrame, sketch: np.ndarray) -> DataFrame:
     noise = float(sketch.sum(dtype=np.float64) / len(sketch))
     schema = pa.schema([("token", pa.int64()), ("node", pa.int64()), ("n", pa.int32()), ("matches", pa.int32()), ("place", pa.int32()), ("salt", pa.int32())])
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, counts, done = shingler(), sent.value, set()
         for batch in batches:
@@ -187,6 +189,7 @@ def texts_of_nodes(docs: DataFrame, nodes: DataFrame, wanted: DataFrame) -> Data
     rows = likely(docs, ids.select("doc_id"))
     schema = pa.schema([("node", pa.int64()), ("text", pa.binary())])
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, pack = shingler(), zstandard.ZstdCompressor(level=3).compress
         for batch in batches:
@@ -225,6 +228,7 @@ def verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, rows: DataFram
     right = texts.select(F.col("node").alias("b"), F.col("text").alias("y"))
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, unpack = shingler(), zstandard.ZstdDecompressor().decompress
         for batch in batches:

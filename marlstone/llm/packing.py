@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marlstone.llm.common import cut, id_text, record, table, texts_of
+from marlstone.llm.common import cut, id_text, record, table, texts_of, tidied
 from marlstone.llm.tokens import byte_bpe, byte_bpe_files
 
 LENGTH, WINDOWS, SLACK, END = 2048, 64, 16, 1
@@ -133,6 +133,7 @@ def pack_documents(docs: DataFrame, length: int = LENGTH, windows: int = WINDOWS
     """
     files = files or byte_bpe_files()
 
+    @tidied
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe, packer = byte_bpe(*files), Packer(length, windows, slack)
         next_id = TaskContext.get().partitionId() << 33

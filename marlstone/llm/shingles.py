@@ -11,7 +11,7 @@ WORDS_EACH = 5
 #: Odd numbers.
 MULTIPLIERS = [np.uint64((2 * i + 1) * 0x9E3779B97F4A7C15 % 2**64) for i in range(WORDS_EACH)]
 #: Words whose hashes a task remembers.
-REMEMBER = 400_000
+REMEMBER = 200_000
 
 
 def mixed(h: np.ndarray) -> np.ndarray:

@@ -39,7 +39,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marlstone.llm.common import Scratch, cut, record, table
+from marlstone.llm.common import Scratch, cut, record, table, tidied
 
 LENGTH, SPREAD = 400, 200
 #: Bytes in the rolling hash: 2^ROLL.
@@ -104,6 +104,7 @@ def anchors(docs: DataFrame, length: int, spread: int) -> DataFrame:
     repeats for certain. place -1: a witness of that for the task of salt 0."""
     core_bytes = length - spread + 1
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh3_64_intdigest
 
@@ -315,6 +316,7 @@ def entry_bytes(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     lists = wanted.groupBy("key").agg(F.collect_list(F.struct("core", "entry", "lo", "hi", "n", "many", "place")).alias("entries"))
     schema = pa.schema([("core", pa.int64()), ("entry", pa.int64()), ("lo", pa.int32()), ("hi", pa.int32()), ("n", pa.int64()), ("many", pa.bool_()), ("left", pa.binary()), ("right", pa.binary())])
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
@@ -392,6 +394,7 @@ def repeats_removed(docs: DataFrame, length: int = LENGTH, spread: int = SPREAD)
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of each document."""
     schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())])
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
@@ -414,6 +417,7 @@ def cleaned(docs: DataFrame, length: int = LENGTH, spread: int = SPREAD) -> Data
     columns = docs.columns
     inner = [c for c in columns if c != "text"]
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:

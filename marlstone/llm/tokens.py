@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import base64
 import re
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 
@@ -17,23 +17,32 @@ SPECIAL = "<|endoftext|>"
 
 
 class ByteBPE:
-    """Encoder for a vocabulary in both of its public forms: a tokenizers file, and a rank file that is ten times as fast."""
+    """Encoder for a vocabulary in both of its public forms: a rank file, and a tokenizers file that is a tenth as fast and
+    is only opened when a text needs it. The special token's id follows the ranks."""
 
     def __init__(self, path: str, ranks_path: str, pattern: str):
         one_thread()
         import tiktoken
-        from tokenizers import Tokenizer
 
         with open(ranks_path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        self.own = Tokenizer.from_file(path)
-        self.own.no_truncation()
-        self.own.no_padding()
+        self.path = path
         #: Bytes of each id's piece.
-        self.lengths = np.zeros(self.own.get_vocab_size(), dtype=np.int64)
+        self.lengths = np.zeros(len(ranks) + 1, dtype=np.int64)
         self.lengths[list(ranks.values())] = [len(b) for b in ranks]
-        self.lengths[self.own.token_to_id(SPECIAL)] = len(SPECIAL)
-        self.fast = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={SPECIAL: self.own.token_to_id(SPECIAL)})
+        self.lengths[len(ranks)] = len(SPECIAL)
+        self.fast = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={SPECIAL: len(ranks)})
+
+    @cached_property
+    def own(self):
+        from tokenizers import Tokenizer
+
+        own = Tokenizer.from_file(self.path)
+        own.no_truncation()
+        own.no_padding()
+        if own.token_to_id(SPECIAL) != len(self.lengths) - 1:
+            raise ValueError("the two files are not of one vocabulary")
+        return own
 
     def ids(self, text: str) -> np.ndarray:
         """Ids as unsigned 32-bit little-endian numbers."""

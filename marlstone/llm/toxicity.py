@@ -28,17 +28,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marlstone.llm.common import Scratch, id_text, likely, record, table, texts_of
+from marlstone.llm.common import Scratch, id_text, likely, record, table, texts_of, tidied
 
 ORDER = 6
-MAX_GRAMS = 1 << 18
+MAX_GRAMS = 1 << 17
 MAX_FIT = 40_000
 #: Score from which a document counts as toxic.
 TOXIC = 0.7
 #: A run of letters. Longer runs than this are judged in pieces.
 LETTERS = re.compile(r"[^\W\d_]{1,40}")
 #: Words whose balances a task remembers.
-REMEMBER = 300_000
+REMEMBER = 200_000
+#: Different words that a task counts before it sends their n-grams.
+COUNTED = 60_000
+FEATURES = 6
 PAD, STOP = "\x02", "\x03"
 
 
@@ -48,20 +51,58 @@ def grams(word: str) -> list[str]:
     return [s[i : i + ORDER] for i in range(len(word) + 1)]
 
 
-@dataclass
+#: Odd multipliers that turn a run of code points into a 64-bit number.
+MULTIPLIERS = np.random.default_rng(6).integers(0, 2**63, ORDER, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def numbered(codes: np.ndarray, n: int) -> np.ndarray:
+    """Numbers of the runs of n code points that begin at each place."""
+    out = codes[: len(codes) - n + 1] * MULTIPLIERS[0]
+    for k in range(1, n):
+        out += codes[k : len(codes) - n + 1 + k] * MULTIPLIERS[k]
+    return out
+
+
+class Table:
+    """Numbers of texts of equal length, looked up by binary search."""
+
+    def __init__(self, values: dict[str, float]):
+        texts = list(values)
+        n = len(texts[0]) if texts else 1
+        codes = np.frombuffer("".join(texts).encode("utf-32-le"), dtype=np.uint32).astype(np.uint64)
+        keys = numbered(codes, n)[::n] if texts else np.zeros(0, dtype=np.uint64)
+        order = np.argsort(keys)
+        self.keys = np.concatenate([keys[order], np.zeros(1, dtype=np.uint64)])
+        self.values = np.concatenate([np.fromiter(values.values(), dtype=float, count=len(texts))[order], np.zeros(1)])
+        self.size = len(texts)
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The values, 0 where there is none, and whether there is one."""
+        at = np.searchsorted(self.keys[: self.size], keys)
+        known = (self.keys[at] == keys) & (at < self.size)
+        return np.where(known, self.values[at], 0.0), known
+
+
 class Model:
     """Log-likelihood ratios of n-grams, and of what follows a context otherwise."""
 
-    gram: dict[str, float]
-    context: dict[str, float]
+    def __init__(self, gram: dict[str, float], context: dict[str, float]):
+        self.gram, self.context = Table(gram), Table(context)
+
+    def words(self, words: list[str]) -> np.ndarray:
+        """The balance of each word."""
+        if not words:
+            return np.zeros(0)
+        codes = np.frombuffer("".join([PAD * (ORDER - 1) + w + STOP for w in words]).encode("utf-32-le"), dtype=np.uint32).astype(np.uint64)
+        count = np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 1
+        first = np.cumsum(count) - count
+        places = np.arange(int(count.sum())) + np.repeat(np.arange(len(words)) * (ORDER - 1), count)
+        value, known = self.gram.find(numbered(codes, ORDER)[places])
+        value += np.where(known, 0.0, self.context.find(numbered(codes, ORDER - 1)[places])[0])
+        return np.add.reduceat(value, first)
 
     def word(self, word: str) -> float:
-        gram, context = self.gram, self.context
-        total = 0.0
-        for g in grams(word):
-            x = gram.get(g)
-            total += context.get(g[:-1], 0.0) if x is None else x
-        return total
+        return float(self.words([word])[0])
 
 
 def discount(counts: list[int]) -> float:
@@ -118,31 +159,41 @@ def kneser_ney(counts: dict[str, tuple[int, int]]) -> Model:
     return Model(gram, {h: log(b / a) for h, (a, b) in left.items()})
 
 
-#: Balance a letter; balance of the most toxic word; means of the 3 and 8 most toxic; shares of words over 1.5 and 4
-FEATURES = 6
-
+class Judge:
+    """Features of texts by one model, which remembers words."""
 
-def features(text: str, balance: Callable[[str], float]) -> list[float]:
-    words = LETTERS.findall(text.lower())
-    if not words:
-        return [0.0] * FEATURES
-    each = np.fromiter(map(balance, words), dtype=float, count=len(words))
-    top = np.sort(np.partition(each, len(each) - 8)[-8:] if len(each) > 8 else each)[::-1]
-    return [float(each.sum() / sum(map(len, words))), float(top[0]), float(top[:3].sum() / 3), float(top.sum() / 8), float((each > 1.5).mean()), float((each > 4).mean())]
+    def __init__(self, model: Model):
+        self.model = model
+        self.known: dict[str, float] = {}
 
+    def features(self, texts: list[str]) -> list[list[float]]:
+        """Of each text: its balance a letter, the balance of its most toxic word, means of the 3 and of the 8 most toxic,
+        and the shares of words over 1.5 and over 4."""
+        lists = [LETTERS.findall(t.lower()) for t in texts]
+        if len(self.known) >= REMEMBER:
+            self.known.clear()
+        new = list(set().union(*lists).difference(self.known))
+        self.known.update(zip(new, self.model.words(new).tolist(), strict=True))
+        return [self._of(words) for words in lists]
 
-def remembering(model: Model) -> Callable[[str], float]:
-    known: dict[str, float] = {}
+    def _of(self, words: list[str]) -> list[float]:
+        if not words:
+            return [0.0] * FEATURES
+        each = np.fromiter(map(self.known.__getitem__, words), dtype=float, count=len(words))
+        n = len(each)
+        top = np.sort(np.partition(each, n - 8)[-8:] if n > 8 else each)[::-1]
+        return [float(each.sum() / sum(map(len, words))), float(top[0]), float(top[:3].sum() / 3), float(top.sum() / 8), np.count_nonzero(each > 1.5) / n, np.count_nonzero(each > 4) / n]
 
-    def balance(word: str) -> float:
-        x = known.get(word)
-        if x is None:
-            if len(known) >= REMEMBER:
-                known.clear()
-            x = known[word] = model.word(word)
-        return x
 
-    return balance
+def features_of(texts: Iterator[str], judge: Judge, step: int = 500) -> list[list[float]]:
+    out: list[list[float]] = []
+    held: list[str] = []
+    for t in texts:
+        held.append(t)
+        if len(held) >= step:
+            out += judge.features(held)
+            held = []
+    return out + judge.features(held)
 
 
 @dataclass
@@ -177,6 +228,7 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 30)
 def count_grams(docs: DataFrame) -> DataFrame:
     """gram, half, ordinary, toxic: counts over docs(text, toxic, half)."""
 
+    @tidied
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("gram", pa.string()), ("half", pa.int32()), ("ordinary", pa.int64()), ("toxic", pa.int64())])
         words: Counter[tuple[str, int, int]] = Counter()
@@ -192,7 +244,7 @@ def count_grams(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for text, toxic, half in zip(texts_of(batch), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 words.update((w, half, toxic) for w in LETTERS.findall(text.lower()))
-                if len(words) >= 200_000:
+                if len(words) >= COUNTED:
                     yield emit()
         if words:
             yield emit()
@@ -208,13 +260,15 @@ def with_features(docs: DataFrame, models: dict[int, Model], by: str) -> DataFra
     keep = [c for c in docs.columns if c != "text"]
     kept = docs.select("text", *keep)
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        balance = {k: remembering(m) for k, m in sent.value.items()}
+        judges = {k: Judge(m) for k, m in sent.value.items()}
         at = keep.index(by) + 1
-        for batch in batches:
-            rows = [features(t, balance[k]) for t, k in zip(texts_of(batch), batch.column(at).to_pylist(), strict=True)]
-            x = pa.array(rows, pa.list_(pa.float64()))
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], x], [*keep, "features"])
+        for whole in batches:
+            for k, judge in judges.items():
+                batch = whole.filter(pa.array(whole.column(at).to_numpy() == k))
+                x = pa.array(features_of(texts_of(batch), judge), pa.list_(pa.float64()))
+                yield pa.RecordBatch.from_arrays([*batch.columns[1:], x], [*keep, "features"])
 
     schema = ", ".join(f"{c} {docs.schema[c].dataType.simpleString()}" for c in keep)
     return kept.mapInArrow(run, f"{schema}, features array<double>")
@@ -267,11 +321,12 @@ def score(docs: DataFrame, scorer: Scorer) -> DataFrame:
     """docs with a column `score`; a narrow map. The other columns stay."""
     sent = docs.sparkSession.sparkContext.broadcast(scorer)
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = sent.value
-        balance = remembering(own.models[0])
+        judge = Judge(own.models[0])
         for batch in batches:
-            rows = [features(t, balance) for t in texts_of(batch, "text")]
+            rows = features_of(texts_of(batch, "text"), judge)
             scores = own.scores(np.asarray(rows).reshape(-1, FEATURES))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], [*batch.schema.names, "score"])
 
