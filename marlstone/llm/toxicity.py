@@ -21,7 +21,7 @@ import re
 from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from math import exp, log
+from math import log
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from marlstone.llm.common import Scratch, id_text, likely, record, table, texts_of, tidied
 
-ORDER = 6
+ORDER = 4
 MAX_GRAMS = 1 << 17
 MAX_FIT = 40_000
 #: Score from which a document counts as toxic.
@@ -52,7 +52,7 @@ def grams(word: str) -> list[str]:
 
 
 #: Odd multipliers that turn a run of code points into a 64-bit number.
-MULTIPLIERS = np.random.default_rng(6).integers(0, 2**63, ORDER, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+MULTIPLIERS = np.random.default_rng(4).integers(0, 2**63, ORDER, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def numbered(codes: np.ndarray, n: int) -> np.ndarray:

@@ -23,7 +23,8 @@ def test_shared_distribution_sums_to_one():
     pooled = {g: sum(n) for g, n in counts([("house", 0, 3), ("mouse", 0, 1), ("horse", 1, 2)]).items()}
     p = shared_model(pooled)
     letters = sorted({g[-1] for g in pooled})
-    for context in ("\x02\x02\x02\x02", "\x02\x02\x02h", "hous", "zzzz"):
+    n = toxicity.ORDER - 2
+    for context in ("\x02" * n, "\x02" * (n - 1) + "h", "hous"[-n:], "z" * n):
         assert sum(p(context + x) for x in letters) == pytest.approx(1 - p(context + "?"))
 
 
