@@ -6,9 +6,10 @@ one class's counts is judged by shared ones and hardly moves the balance. A word
 model less that in the ordinary one. A document's balance, normalised by its length, and those of its most toxic
 words and their share are weighed by a logistic regression, which is fitted on documents that the models had not seen.
 
-What is learnt: counts come from all labelled rows given, and grow with them. What is kept is bounded: at
-most MAX_GRAMS n-grams (the most frequent ones, exactly counted; the mass of the others goes to the shared distributions)
-and a regression fitted on about MAX_FIT documents at most, chosen by digests of their ids.
+What is learnt: counts come from all labelled rows given, and grow with them. Every n-gram is kept: totals, continuation
+counts and discounts are made from the whole table of counts by grouped sums and joins, and what the n-grams weigh is
+looked up in shards of sorted arrays, as many as the n-grams need; the driver and a task hold one or a few of them at a
+time. The regression is fitted on about MAX_FIT documents at most, chosen by digests of their ids.
 
 Defined results: a null or empty text, or one without letters, has balance 0 and gets the score of such a text; repeated
 rows get equal scores; an empty table gives no rows; without labels of both classes every score is the share of
@@ -25,13 +26,17 @@ from math import log
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from marlstone.llm.common import Scratch, id_text, likely, record, table, texts_of, tidied
 
 ORDER = 4
-MAX_GRAMS = 1 << 17
+#: The number of the model of both halves; theirs are 0 and 1.
+WHOLE = 2
+#: N-grams of a shard, about.
+SHARD = 1 << 20
 MAX_FIT = 40_000
 #: Score from which a document counts as toxic.
 TOXIC = 0.7
@@ -83,11 +88,47 @@ class Table:
         return np.where(known, self.values[at], 0.0), known
 
 
+class Shards:
+    """A Table in broadcast pieces, dealt by the numbers, of which one is in memory at a time."""
+
+    def __init__(self, pieces: list[Broadcast], size: int):
+        self.pieces, self.size = pieces, size
+        self.held: tuple[int, np.ndarray, np.ndarray] | None = None
+
+    def __getstate__(self) -> dict:
+        return {**self.__dict__, "held": None}
+
+    def piece(self, i: int) -> tuple[np.ndarray, np.ndarray]:
+        if self.held is None or self.held[0] != i:
+            self.held = None
+            keys, values = self.pieces[i].value
+            vars(self.pieces[i]).pop("_value", None)  # a Broadcast would remember it
+            self.held = (i, np.frombuffer(keys, dtype=np.uint64), np.frombuffer(values, dtype=float))
+        return self.held[1:]
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The values, 0 where there is none, and whether there is one."""
+        value, known = np.zeros(len(keys)), np.zeros(len(keys), dtype=bool)
+        dealt = shard_of(keys, len(self.pieces)) if self.pieces else None
+        for i in range(len(self.pieces)):
+            asked = np.flatnonzero(dealt == i)
+            if len(asked):
+                own, values = self.piece(i)
+                at = np.minimum(np.searchsorted(own, keys[asked]), len(own) - 1)
+                found = own[at] == keys[asked]
+                value[asked], known[asked] = np.where(found, values[at], 0.0), found
+        return value, known
+
+
+def shard_of(keys: np.ndarray, n: int) -> np.ndarray:
+    return ((keys >> np.uint64(32)) % np.uint64(n)).astype(np.int32)
+
+
 class Model:
     """Log-likelihood ratios of n-grams, and of what follows a context otherwise."""
 
-    def __init__(self, gram: dict[str, float], context: dict[str, float]):
-        self.gram, self.context = Table(gram), Table(context)
+    def __init__(self, gram: dict[str, float] | Shards, context: dict[str, float] | Shards):
+        self.gram, self.context = (x if isinstance(x, Shards) else Table(x) for x in (gram, context))
 
     def words(self, words: list[str]) -> np.ndarray:
         """The balance of each word."""
@@ -105,12 +146,15 @@ class Model:
         return float(self.words([word])[0])
 
 
-def discount(counts: list[int]) -> float:
+def discount_of(once: int, twice: int) -> float:
     """Kneser and Ney's estimate from the numbers of n-grams seen once and twice."""
-    once, twice = counts.count(1), counts.count(2)
     return min(max(once / (once + 2 * twice), 0.1), 0.9) if once else 0.5
 
 
+def discount(counts: list[int]) -> float:
+    return discount_of(counts.count(1), counts.count(2))
+
+
 def shared_model(pooled: dict[str, int]) -> Callable[[str], float]:
     """The shared distribution of orders below the highest: interpolated Kneser-Ney over continuation counts."""
     levels: list[tuple[dict[str, int], dict[str, tuple[int, int]], float]] = []
@@ -140,7 +184,7 @@ def shared_model(pooled: dict[str, int]) -> Callable[[str], float]:
 
 
 def kneser_ney(counts: dict[str, tuple[int, int]]) -> Model:
-    """counts: of each n-gram in ordinary and in toxic text."""
+    """counts: of each n-gram in ordinary and in toxic text. In memory; log_ratios() makes the same of a table."""
     pooled = {g: a + b for g, (a, b) in counts.items()}
     p = shared_model(pooled)
     d = [discount([x[c] for x in counts.values()]) for c in (0, 1)]
@@ -253,16 +297,100 @@ def count_grams(docs: DataFrame) -> DataFrame:
     return counted.groupBy("gram", "half").agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic"))
 
 
+def by_model(values: dict[int, float]) -> Column:
+    out = F.lit(0.5)
+    for m, v in values.items():
+        out = F.when(F.col("model") == m, F.lit(v)).otherwise(out)
+    return out
+
+
+def discounts(counts: DataFrame, name: str) -> Column:
+    """Each model's discount from the column of counts."""
+    seen = counts.groupBy("model").agg(F.count_if(F.col(name) == 1).alias("once"), F.count_if(F.col(name) == 2).alias("twice")).collect()
+    return by_model({r["model"]: discount_of(r["once"], r["twice"]) for r in seen})
+
+
+def log_ratios(counts: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """What kneser_ney() makes, as tables of model, text, value: of n-grams, and of contexts. counts has model, gram,
+    ordinary and toxic. Each level's counts are grouped from all those above it."""
+    head, tail = F.expr("substring(gram, 1, char_length(gram) - 1)"), F.expr("substring(gram, 2)")
+    among = Window.partitionBy("model", "before")
+    levels, types = [], counts
+    for _ in range(ORDER - 1):
+        types = scratch.cut(types.groupBy("model", tail.alias("gram")).agg(F.count(F.lit(1)).alias("n")))
+        levels.append(types)
+    letters = {r["model"]: r["count"] + 1 for r in levels[-1].groupBy("model").count().collect()}
+    p = None
+    for level in reversed(levels):
+        d = discounts(level, "n")
+        placed = level.withColumn("before", head).withColumn("total", F.sum("n").over(among)).withColumn("kinds", F.count(F.lit(1)).over(among))
+        lower = placed.withColumn("q", 1.0 / by_model(letters)) if p is None else placed.withColumn("after", tail).join(p.select("model", F.col("gram").alias("after"), F.col("p").alias("q")), ["model", "after"])
+        p = scratch.cut(lower.select("model", "gram", ((F.greatest(F.col("n") - d, F.lit(0.0)) + d * F.col("kinds") * F.col("q")) / F.col("total")).alias("p")))
+    ds = {c: discounts(counts, c) for c in ("ordinary", "toxic")}
+
+    def left(c: str) -> Column:
+        return F.when(F.col(f"total_{c}") > 0, ds[c] * F.col(f"kinds_{c}") / F.col(f"total_{c}")).otherwise(1.0)
+
+    def own(c: str) -> Column:
+        seen = F.when(F.col(f"total_{c}") > 0, F.greatest(F.col(c) - ds[c], F.lit(0.0)) / F.col(f"total_{c}")).otherwise(0.0)
+        return seen + left(c) * F.col("q")
+
+    headed = counts.withColumn("before", head)
+    sums = [f(c) for c in ds for f in (lambda c: F.sum(c).alias(f"total_{c}"), lambda c: F.count_if(F.col(c) > 0).alias(f"kinds_{c}"))]
+    contexts = scratch.cut(headed.groupBy("model", "before").agg(*sums))
+    asked = headed.join(contexts, ["model", "before"]).withColumn("after", tail).join(p.select("model", F.col("gram").alias("after"), F.col("p").alias("q")), ["model", "after"])
+    ratios = scratch.cut(asked.select("model", F.col("gram").alias("text"), F.log(own("toxic") / own("ordinary")).alias("value")))
+    return ratios, contexts.select("model", F.col("before").alias("text"), F.log(left("toxic") / left("ordinary")).alias("value"))
+
+
+def sharded(values: DataFrame, n: int) -> dict[int, Shards]:
+    """The values(model, text, value) of texts of length n, by model. The driver has a few shards at a time."""
+    size = {r["model"]: r["count"] for r in values.groupBy("model").count().collect()}
+    pieces = {m: 1 + k // SHARD for m, k in size.items()}
+
+    @tidied
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            codes = np.frombuffer("".join(texts_of(batch)).encode("utf-32-le"), dtype=np.uint32).astype(np.uint64)
+            keys = numbered(codes, n)[::n] if len(codes) else np.zeros(0, dtype=np.uint64)
+            model = batch.column(0).to_numpy()
+            shard = np.zeros(len(keys), dtype=np.int32)
+            for m, k in pieces.items():
+                shard[model == m] = shard_of(keys[model == m], k)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(shard), pa.array(keys.view(np.int64)), batch.column(2)], ["model", "shard", "key", "value"])
+
+    def pack(group: pa.Table) -> pa.Table:
+        keys = group.column("key").to_numpy().view(np.uint64)
+        order = np.argsort(keys)
+        packed = [pa.array([x[order].tobytes()], pa.binary()) for x in (keys, group.column("value").to_numpy())]
+        return pa.table([group.column("model")[:1], group.column("shard")[:1], *packed], names=["model", "shard", "keys", "values"])
+
+    dealt = values.mapInArrow(deal, "model int, shard int, key long, value double")
+    sent: dict[int, dict[int, Broadcast]] = {m: {} for m in size}
+    for r in dealt.groupBy("model", "shard").applyInArrow(pack, "model int, shard int, keys binary, values binary").toLocalIterator():
+        sent[r["model"]][r["shard"]] = values.sparkSession.sparkContext.broadcast((bytes(r["keys"]), bytes(r["values"])))
+    none = (b"\0" * 8, b"\0" * 8)
+    for m, k in pieces.items():
+        for i in set(range(k)).difference(sent[m]):
+            sent[m][i] = values.sparkSession.sparkContext.broadcast(none)
+    return {m: Shards([sent[m][i] for i in range(k)], size[m]) for m, k in pieces.items()}
+
+
+def estimated(counts: DataFrame, scratch: Scratch) -> dict[int, Model]:
+    """The model of each number in counts(model, gram, ordinary, toxic)."""
+    grams, contexts = log_ratios(counts, scratch)
+    gram, context = sharded(grams, ORDER), sharded(contexts, ORDER - 1)
+    return {m: Model(gram[m], context[m]) for m in gram}
+
+
 def with_features(docs: DataFrame, models: dict[int, Model], by: str) -> DataFrame:
-    """docs(doc_id, text, by, ...) without the text and with its features by models[by]. The models' sizes are
-    bounded by MAX_GRAMS, so they are broadcast."""
-    sent = docs.sparkSession.sparkContext.broadcast(models)
+    """docs(doc_id, text, by, ...) without the text and with its features by models[by], whose shards are broadcast."""
     keep = [c for c in docs.columns if c != "text"]
     kept = docs.select("text", *keep)
 
     @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        judges = {k: Judge(m) for k, m in sent.value.items()}
+        judges = {k: Judge(m) for k, m in models.items()}
         at = keep.index(by) + 1
         for whole in batches:
             for k, judge in judges.items():
@@ -274,20 +402,7 @@ def with_features(docs: DataFrame, models: dict[int, Model], by: str) -> DataFra
     return kept.mapInArrow(run, f"{schema}, features array<double>")
 
 
-def frequent(counts: DataFrame, most: int) -> DataFrame:
-    """The grams of counts that are at least as frequent as the rarest of the `most` most frequent; those as frequent as
-    the first that is left out go with it. The frequency is read off a table of frequencies, so nothing is sorted."""
-    totals = counts.groupBy("gram").agg(F.sum(F.col("ordinary") + F.col("toxic")).alias("n"))
-    least, held = 0, 0
-    for r in sorted(totals.groupBy("n").count().collect(), key=lambda r: -r["n"]):
-        held += r["count"]
-        if held > most:
-            break
-        least = r["n"]
-    return totals.filter(F.col("n") >= least).select("gram") if held <= most or least else totals.limit(0).select("gram")
-
-
-def learn(labelled: DataFrame, max_grams: int = MAX_GRAMS, max_fit: int = MAX_FIT) -> Scorer:
+def learn(labelled: DataFrame, max_fit: int = MAX_FIT) -> Scorer:
     """From labelled(doc_id, text, toxic). The two halves of the ids' digests teach a model each, which gives the
     features of the other half for the regression; scores use both halves' counts."""
     key = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
@@ -296,13 +411,10 @@ def learn(labelled: DataFrame, max_grams: int = MAX_GRAMS, max_fit: int = MAX_FI
     with Scratch(labelled.sparkSession) as scratch:
         rows = scratch.cut(rows)
         counts = scratch.cut(count_grams(rows))
-        both: list[dict[str, tuple[int, int]]] = [{}, {}]
-        for r in counts.join(frequent(counts, max_grams), "gram").toLocalIterator():
-            both[r["half"]][r["gram"]] = (r["ordinary"], r["toxic"])
+        whole = counts.groupBy("gram").agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic")).select(F.lit(WHOLE).alias("model"), "gram", "ordinary", "toxic")
+        made = estimated(scratch.cut(counts.select(F.col("half").alias("model"), "gram", "ordinary", "toxic").unionByName(whole)), scratch)
         # each half's model gives the features of the other
-        models = {1 - h: kneser_ney(c) for h, c in enumerate(both)}
-        whole = {g: tuple(sum(c.get(g, (0, 0))[k] for c in both) for k in (0, 1)) for g in {**both[0], **both[1]}}
-        del both
+        models = {1 - h: made.get(h, Model({}, {})) for h in (0, 1)}
         share = max_fit / max(rows.count(), 1)
         place = F.pmod(F.xxhash64(F.concat(F.lit("fit:"), key)), F.lit(1 << 20))
         fit = rows.filter(place < int(share * (1 << 20))) if share < 1 else rows
@@ -314,20 +426,18 @@ def learn(labelled: DataFrame, max_grams: int = MAX_GRAMS, max_fit: int = MAX_FI
         return Scorer([Model({}, {})], none, none, none, base)
     x = np.asarray(got["features"].tolist())
     mean, scale = x.mean(axis=0), x.std(axis=0) + 1e-6
-    return Scorer([kneser_ney(whole)], mean, scale, logistic((x - mean) / scale, y), base)
+    return Scorer([made.get(WHOLE, Model({}, {}))], mean, scale, logistic((x - mean) / scale, y), base)
 
 
 def score(docs: DataFrame, scorer: Scorer) -> DataFrame:
     """docs with a column `score`; a narrow map. The other columns stay."""
-    sent = docs.sparkSession.sparkContext.broadcast(scorer)
 
     @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = sent.value
-        judge = Judge(own.models[0])
+        judge = Judge(scorer.models[0])
         for batch in batches:
             rows = features_of(texts_of(batch, "text"), judge)
-            scores = own.scores(np.asarray(rows).reshape(-1, FEATURES))
+            scores = scorer.scores(np.asarray(rows).reshape(-1, FEATURES))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], [*batch.schema.names, "score"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
