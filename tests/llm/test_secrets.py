@@ -78,3 +78,17 @@ def test_redaction_keeps_the_rest(spark):
     out = {r.doc_id: r for r in redact_secrets(documents(spark, [(1, None), (2, "a password=abcdefgh b"), (3, "clean")])).collect()}
     assert out[1].text is None and out[3].text == "clean"
     assert out[2].text == "a [SECRET] b" and out[2].n_chars == len(out[2].text)
+
+
+SSH = base64.b64encode(b"".join(len(x).to_bytes(4, "big") + x for x in (b"ssh-ed25519", bytes(range(32))))).decode()
+
+
+@pytest.mark.parametrize("before", ["PRIVATE_KEY=", "?sig=", 'KEY="', "KEY='", "key:", "key: ", "KEY = ", "==", ""])
+def test_keys_are_found_after_any_other_character(before):
+    for kind, key in (("der", B64), ("sshkey", SSH)):
+        assert (kind, len(before), len(before) + len(key)) in find_spans(f"{before}{key}")[1]
+
+
+def test_a_key_after_an_equals_sign_is_redacted(spark):
+    out = redact_secrets(documents(spark, [(1, f"PRIVATE_KEY={B64} end")])).collect()
+    assert out[0].text == "PRIVATE_KEY=[SECRET] end"
