@@ -40,6 +40,8 @@ MOST_MATCHES = 4
 CANDIDATE_COST = 1.0
 #: Estimated frequency from which a shingle's list is dealt over SALTS tasks.
 HOT, SALTS = 10_000, 64
+#: Nodes of a list that meet the whole list in one task.
+LIST = 1000
 #: Nodes whose prefixes a task remembers to have sent.
 SENT = 500_000
 
@@ -256,18 +258,33 @@ def cross_pairs(rows: DataFrame, known: DataFrame, scratch: Scratch) -> DataFram
     mixed_lists = placed.groupBy("token").agg(F.min("component").alias("p"), F.max("component").alias("q")).filter("p <> q").select("token")
     placed = scratch.cut(placed.join(mixed_lists, "token"))
     sides = [placed.select("token", *[F.col(c).alias(f"{c}_{s}") for c in ("node", "n", "matches", "place", "component")]) for s in "ab"]
+    return candidates(sides[0].join(sides[1], "token").filter(F.col("component_a") != F.col("component_b")))
+
+
+def all_pairs(rows: DataFrame, scratch: Scratch) -> DataFrame:
+    """All candidate pairs of nodes, those within components too. A long list meets itself in several tasks."""
+    length = rows.groupBy("token").agg((1 + F.floor(F.count(F.lit(1)) / LIST)).cast("int").alias("parts"))
+    placed = scratch.cut(rows.join(length, "token"))
+    sides = [placed.select("token", "parts", *[F.col(c).alias(f"{c}_{s}") for c in ("node", "n", "matches", "place")]) for s in "ab"]
+    left = sides[0].withColumn("part", F.pmod(F.xxhash64("node_a"), F.col("parts")).cast("int")).drop("parts")
+    right = sides[1].withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
+    return candidates(left.join(right, ["token", "part"]))
+
+
+def candidates(met: DataFrame) -> DataFrame:
+    """Of nodes a and b that met at a shingle, the pairs with min(l, l') matches at places that a link allows."""
     shared = least_shared(F.col("n_a"), F.col("n_b"))
     asked = F.least("matches_a", "matches_b")
     near = [F.col(f"place_{s}") <= F.col(f"n_{s}") - shared + asked - 1 for s in "ab"]
-    condition = (F.col("node_a") < F.col("node_b")) & (F.col("component_a") != F.col("component_b")) & sizes_allow(F.col("n_a"), F.col("n_b")) & near[0] & near[1]
-    met = sides[0].join(sides[1], "token").filter(condition)
-    counted = met.groupBy("node_a", "node_b").agg(F.count(F.lit(1)).alias("k"), F.first(asked).alias("asked"))
+    condition = (F.col("node_a") < F.col("node_b")) & sizes_allow(F.col("n_a"), F.col("n_b")) & near[0] & near[1]
+    counted = met.filter(condition).groupBy("node_a", "node_b").agg(F.count(F.lit(1)).alias("k"), F.first(asked).alias("asked"))
     return counted.filter("k >= asked").select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, node, n_shingles, component_id, n_links of each document. Links join nodes: n_links counts those that
-    were found on the way to the components, copies and pairs within a component left out."""
+def near_duplicates(docs: DataFrame, count_links: bool = False) -> DataFrame:
+    """doc_id, node, n_shingles and component_id of each document, and with count_links n_links: how many other nodes
+    (sets of shingles; copies are one) its own is linked with. Components need few of the links; to count them all,
+    every candidate pair is compared, those within components too, and a group of k near copies has up to k^2 / 2."""
     spark = docs.sparkSession
     rows = id_text(docs)
     with Scratch(spark) as scratch:
@@ -279,12 +296,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         first = components(links, scratch)
         links = links.unionByName(verified(rows, nodes, cross_pairs(shared, first, scratch), shared, scratch))
         whole = components(links, scratch)
-        degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
-        placed = nodes.join(whole, "node", "left").join(degree, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        placed = nodes.join(whole, "node", "left").withColumn("component", F.coalesce("component", "node"))
         least = nodes.join(whole, "node", "left").withColumn("component", F.coalesce("component", "node")).filter("node is not null").groupBy("component").agg(F.min("doc_id").alias("least"))
         out = placed.join(least, "component", "left")
         alone = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("least"))
-        return cut(out.select("doc_id", "node", F.col("n").alias("n_shingles"), alone.alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links")))
+        out = out.select("doc_id", "node", F.col("n").alias("n_shingles"), alone.alias("component_id"))
+        if count_links:
+            every = verified(rows, nodes, all_pairs(shared, scratch), shared, scratch)
+            degree = every.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
+            out = out.join(degree, "node", "left").select(*out.columns, F.coalesce("n_links", F.lit(0)).alias("n_links"))
+        return cut(out)
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
