@@ -33,7 +33,9 @@ WORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 RUN = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{32,}={0,2}")
 HEXRUN = re.compile(r"(?<![0-9A-Fa-f])(?:[0-9A-Fa-f]{2}){32,}(?![0-9A-Fa-f])")
 JWT = re.compile(r"(?<![A-Za-z0-9_-])(eyJ[A-Za-z0-9_-]+)\.(eyJ[A-Za-z0-9_-]+)\.([A-Za-z0-9_-]*)")
-PEM = re.compile(r"-----BEGIN ((?:[A-Z0-9]+ )*PRIVATE KEY)-----([A-Za-z0-9+/=\s]*)-----END \1-----")
+PEM = re.compile(r"-----BEGIN ((?:[A-Z0-9]+ )*PRIVATE KEY)-----((?:[A-Za-z0-9+/=\s]|\\[nr])*)-----END \1-----")
+#: Line ends in armour, those written with a backslash too (keys inside JSON).
+LINE_END = re.compile(r"\s|\\[nr]")
 KINDS = ("assign", "access", "hex", "jwt", "pem", "der", "derhex", "sshkey")
 ORDER = {k: i for i, k in enumerate(KINDS)}
 SSH_KINDS = (b"ssh-rsa", b"ssh-dss", b"ssh-ed25519", b"ecdsa-sha2-nistp256", b"ecdsa-sha2-nistp384", b"ecdsa-sha2-nistp521")
@@ -81,7 +83,7 @@ def der_items(data: bytes, at: int, end: int) -> list[tuple[int, int, int]] | No
 
 def is_der_key(data: bytes) -> bool:
     """Whether data is one SEQUENCE that holds a key: [INTEGER, INTEGER or SEQUENCE or OCTET STRING, ...] (private)
-    or [SEQUENCE with an OBJECT IDENTIFIER, BIT STRING] (public), all lengths exact."""
+    or [SEQUENCE with an OBJECT IDENTIFIER, BIT STRING or OCTET STRING] (public or encrypted private), all lengths exact."""
     top = der_item(data, 0, len(data))
     if not top or top[0] != 0x30 or top[2] != len(data) or not (items := der_items(data, top[1], top[2])) or len(items) < 2:
         return False
@@ -91,7 +93,7 @@ def is_der_key(data: bytes) -> bool:
             inner = der_items(data, *items[1][1:])
             return bool(inner) and inner[0][0] == 0x06 and 0x04 in tags[2:]
         return tags[1] in (0x02, 0x04) and (all(t == 0x02 for t in tags) or tags[1] == 0x04)
-    if tags == [0x30, 0x03]:
+    if tags in ([0x30, 0x03], [0x30, 0x04]):
         inner = der_items(data, *items[0][1:])
         return bool(inner) and inner[0][0] == 0x06
     return False
@@ -140,7 +142,7 @@ def structural_spans(text: str) -> list[Span]:
         found += [("jwt", *m.span()) for m in JWT.finditer(text) if is_json_object(m[1], "alg") and is_json_object(m[2])]
     if "-----BEGIN " in text:
         for m in PEM.finditer(text):
-            data = b64("".join(m[2].split()))
+            data = b64(LINE_END.sub("", m[2]))
             if data and (is_der_key(data) or is_ssh_key(data)):
                 found.append(("pem", *m.span()))
     for m in RUN.finditer(text):

@@ -92,3 +92,18 @@ def test_keys_are_found_after_any_other_character(before):
 def test_a_key_after_an_equals_sign_is_redacted(spark):
     out = redact_secrets(documents(spark, [(1, f"PRIVATE_KEY={B64} end")])).collect()
     assert out[0].text == "PRIVATE_KEY=[SECRET] end"
+
+
+ENCRYPTED = der(0x30, der(0x30, der(0x06, bytes([42, 134, 72, 134, 247, 13, 1, 5, 13])) + der(0x05, b"")) + der(0x04, bytes(range(256))))
+
+
+def test_encrypted_keys_and_escaped_line_ends():
+    b64 = base64.b64encode(ENCRYPTED).decode()
+    spans = lambda t: [s for s in find_spans(t)[1] if s[0] in ("pem", "der")]
+    assert spans(b64) == [("der", 0, len(b64))]
+    for kind, key in (("ENCRYPTED PRIVATE KEY", b64), ("RSA PRIVATE KEY", B64)):
+        for end in ("\n", "\\n", "\\r\\n"):
+            armour = f"-----BEGIN {kind}-----{end}{key[:64]}{end}{key[64:]}{end}-----END {kind}-----"
+            assert ("pem", 0, len(armour)) in spans(armour)
+    broken = base64.b64encode(ENCRYPTED[:-5] + b"\0" * 9).decode()
+    assert spans(broken) == []
