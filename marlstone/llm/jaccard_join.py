@@ -308,17 +308,40 @@ def near_duplicates(docs: DataFrame, count_links: bool = False) -> DataFrame:
         return cut(out)
 
 
+def with_node(docs: DataFrame) -> DataFrame:
+    """docs with a column __node, the node of each row's text."""
+
+    @tidied
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingles = shingler()
+        for batch in batches:
+            nodes = [node_of(s) if len(s) else None for s in map(shingles, texts_of(batch, "text"))]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(nodes, pa.int64())], [*batch.schema.names, "__node"])
+
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+    return docs.mapInArrow(run, f"{schema}, __node long")
+
+
 def keep_one(docs: DataFrame) -> DataFrame:
     """docs without all but one document of each component: the one whose id is the component's. Documents without
     words are no copies of each other and stay. Of equal rows with the kept id one stays; a row that shares the kept
-    id, but not its text, stays as well. The columns of docs stay."""
-    found = near_duplicates(docs).filter(F.col("node").isNotNull())
-    gone = found.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
+    id, but not its text, stays as well. Of rows that share another id, but not their texts, only those go whose own
+    text is a copy. The columns of docs stay."""
+    every = near_duplicates(docs)
+    found = every.filter(F.col("node").isNotNull())
+    copies = found.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("id"), "node").distinct()
+    several = every.groupBy("doc_id").agg((F.count_distinct("node") + F.max(F.col("node").isNull().cast("int"))).alias("k")).filter("k > 1").select("doc_id")
+    mixed = several.join(copies, several["doc_id"].eqNullSafe(copies["id"]), "left_semi")
+    gone = copies.select(F.col("id").alias("doc_id")).distinct()
     kept = docs.join(gone, docs["doc_id"].eqNullSafe(gone["doc_id"]), "left_anti")
+    if not mixed.isEmpty():
+        again = with_node(docs.join(mixed, docs["doc_id"].eqNullSafe(mixed["doc_id"]), "left_semi"))
+        again = again.join(copies, again["doc_id"].eqNullSafe(copies["id"]) & (again["__node"] == copies["node"]), "left_anti").drop("__node")
+        kept = kept.unionByName(again)
     twice = found.groupBy("doc_id", "node").count().filter("count > 1").select("doc_id").distinct()
     if twice.isEmpty():
         return kept
-    same = docs["doc_id"].eqNullSafe(twice["doc_id"])
+    same = kept["doc_id"].eqNullSafe(twice["doc_id"])
     return kept.join(twice, same, "left_anti").unionByName(kept.join(twice, same, "left_semi").dropDuplicates(["doc_id", "text"]))
 
 
