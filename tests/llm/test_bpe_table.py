@@ -41,3 +41,21 @@ def test_words_alone_encode_as_in_the_text():
         assert [i for ids in table.encode(words_of(text)) for i in ids] == own.encode(text, add_special_tokens=False).ids
 
     check()
+
+
+def test_every_letter_before_every_mark():
+    own, table = Tokenizer.from_file(PATH), word_table(PATH)
+    letters = [chr(c) for c in range(0x41, 0x250)]
+    texts = [f"{a}{letter}{mark}{punctuation}{z}" for letter in letters for a in ("", "x") for mark in ("", "\u0301", "\u0307") for punctuation in (".", ",", ";", ":", "!", "?", "...", "?!") for z in ("", " b")]
+    whole_ids = [e.ids for e in own.encode_batch_fast(texts, add_special_tokens=False)]
+    words = [words_of(t) for t in texts]
+    distinct = sorted({w for x in words for w in x})
+    ids = dict(zip(distinct, table.encode(distinct), strict=True))
+    assert [t for t, x, want in zip(texts, words, whole_ids, strict=True) if [i for w in x for i in ids[w]] != want] == []
+
+
+def test_equal_chunks_and_words_without_ids(spark):
+    own = Tokenizer.from_file(PATH)
+    rows = [(7, t) for t in ("a \u0301 b \u200b, c", None, "same text.")] * 4
+    out = encode_decode(documents(spark, rows).repartition(4), PATH, chunk_bytes=1).collect()
+    assert sorted(tuple(r) for r in out) == sorted((d, *whole(own, t)) for d, t in rows)
