@@ -3,16 +3,17 @@
 Words are split on white space, and closing punctuation from a letter before it: the tokenizer's pattern breaks
 there whatever stands around, so a text's ids are its words' ids one after the other. Scan tasks gather chunks of
 a few MB of text, split each text once, list the chunk's distinct words by bucket of the word's checksum, and keep the
-texts as places in that list. Both are written to the shared checkpoint folder. A bucket's distinct words, from all
-chunks, are encoded once, by the tokenizers library; the ids return to each chunk in the order of its list, so words
-travel once and texts as numbers only. There the ids are joined by position, and decoded through the id-to-piece table
+texts as places in that list. Both go to the chunk's task by one shuffle. A bucket's distinct words, from all chunks, are
+encoded once, by the tokenizers library; the ids return to each chunk in the order of its list, so texts travel as
+numbers only. There the ids are joined by position, and decoded through the id-to-piece table
 (as large as the vocabulary).
 
 No table of the corpus is broadcast: a chunk holds its own words only, a bucket 1/buckets of the vocabulary and of the
 chunks' lists (compressed, opened one at a time), and the number of buckets follows the size of the input.
 
 Defined results: a null text is empty, has no ids and decodes to ''; repeated rows are encoded alike; an empty
-table gives no rows. Places and lists are written by the same task, so they agree however the scan was split.
+table gives no rows. Places and lists are made by the same task, so they agree however the scan was split; a lost task's
+rows are made again from the same split, and a list that does not fit its chunk is an error, never a wrong result.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 
-from marlstone.llm.common import Scratch, cut, id_text, one_thread, record, stored_bytes, table, texts_of, tidied
+from marlstone.llm.common import id_text, one_thread, record, stored_bytes, table, texts_of, tidied
 
 CHUNK_BYTES = 8 << 20
 #: Input bytes as stored for each bucket of words.
@@ -204,18 +205,22 @@ def encode_decode(docs: DataFrame, path: str, chunk_bytes: int = CHUNK_BYTES) ->
         coder, out = word_table(path), []
         coded = {b.as_py(): i.as_py() for b, i in zip(right.column("bucket"), right.column("coded"), strict=True)}
         by_list = [ids for b in sorted(coded) for ids in unpacked_ids(coded[b])]
-        for row in left.select(["ids", "lengths", "listed", "places"]).to_pylist():
+        for row in left.filter(left.column("places").is_valid()).select(["ids", "lengths", "listed", "places"]).to_pylist():
             by_place: list[list[int]] = [[]] * len(by_list)
             for p, ids in zip(opened(row["listed"]).tolist(), by_list, strict=True):
                 by_place[p] = ids
             out.append(record(CODED, [row["ids"], *digests(row["lengths"], opened(row["places"]), by_place, coder)]))
         return pa.Table.from_batches(out, schema=CODED)
 
-    with Scratch(docs.sparkSession) as scratch:
-        rows = scratch.cut(id_text(docs).mapInArrow(split, SPLIT_DDL))
-        coded = rows.filter("words is not null").select("chunk", "bucket", "words").groupBy("bucket").applyInArrow(encode, "chunk long, bucket int, coded binary")
-        sent = rows.filter("places is not null").select("chunk", "ids", "lengths", "listed", "places")
-        return cut(sent.groupBy("chunk").cogroup(coded.groupBy("chunk")).applyInArrow(join, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"))
+    def only_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            batch = batch.select(["chunk", "bucket", "words"])
+            yield batch.filter(batch.column(2).is_valid())
+
+    # one shuffle by chunk, which both sides read: words by way of their buckets, places where they are
+    dealt = id_text(docs).mapInArrow(split, SPLIT_DDL).repartition("chunk")
+    coded = dealt.mapInArrow(only_words, "chunk long, bucket int, words binary").groupBy("bucket").applyInArrow(encode, "chunk long, bucket int, coded binary")
+    return dealt.groupBy("chunk").cogroup(coded.groupBy("chunk")).applyInArrow(join, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def op3_bpe_table(spark: SparkSession, sf_dir: str) -> DataFrame:
