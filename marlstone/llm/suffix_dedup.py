@@ -34,6 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -42,6 +43,9 @@ from pyspark.sql import functions as F
 from marlstone.llm.common import Scratch, cut, record, table, tidied
 
 LENGTH, SPREAD = 400, 200
+#: What `cleaned` looks for: strings of SHORT bytes (51 words have that many in 99 of 100 places of ordinary prose), of whose runs those
+#: over MOST_WORDS words or of LENGTH bytes go.
+SHORT, SHORT_SPREAD, MOST_WORDS = 224, 112, 50
 #: Bytes in the rolling hash: 2^ROLL.
 ROLL = 4
 SEGMENT = 1 << 20
@@ -410,32 +414,44 @@ def repeats_removed(docs: DataFrame, length: int = LENGTH, spread: int = SPREAD)
         return cut(with_spans(own, scratch, length, spread).select("doc_id", "raw", "spans").mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"))
 
 
-def cleaned(docs: DataFrame, length: int = LENGTH, spread: int = SPREAD) -> DataFrame:
-    """docs with the repeated bytes taken out of their texts and n_chars counted anew; what is left of a character
-    that was cut goes too. A document of which only white space is left goes; one that had nothing removed stays as it
-    is. The columns of docs stay."""
+def passages(raw: bytes, runs: list[Stretch], most_words: int) -> list[Stretch]:
+    """The runs of more than most_words words (white-space separated, cut ones counted) or of LENGTH bytes or more."""
+    return [(a, b) for a, b in runs if b - a >= LENGTH or len(raw[a:b].split()) > most_words]
+
+
+def cleaned(docs: DataFrame, length: int = SHORT, spread: int = SHORT_SPREAD, most_words: int = MOST_WORDS) -> DataFrame:
+    """docs without their repeated passages: maximal runs of bytes that strings of `length` bytes cover which also start
+    anywhere else, if they have more than most_words words or LENGTH bytes. Every occurrence goes; n_chars, where there is such a
+    column, is counted anew, and what is left of a character that was cut goes too. A document of which only white
+    space is left goes.
+
+    Defined results: a row that had nothing removed stays as it is, nulls included (null texts have nothing to remove);
+    rows with equal ids and texts are occurrences of each other; an empty table gives no rows. The columns of docs stay,
+    whatever their names, in their order."""
     columns = docs.columns
-    inner = [c for c in columns if c != "text"]
+    inner = {"doc_id": "doc_id", **{c: f"c{i}" for i, c in enumerate(columns) if c not in ("doc_id", "text")}}
+    own = docs.select(F.col("text"), F.col("text").isNull().alias("void"), *[F.col(f"`{c}`").alias(n) for c, n in inner.items()])
 
     @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
-            at = {n: i for i, n in enumerate(batch.schema.names)}
-            texts, keep = [], []
-            for raw, spans in zip(batch.column(at["raw"]), batch.column(at["spans"]), strict=True):
-                raw, runs = unpack(raw.as_py()), disjoint(spans.as_py() or [])
+            texts, keep, sizes = [], [], []
+            for raw, spans, void in zip(batch.column("raw"), batch.column("spans"), batch.column("void"), strict=True):
+                raw = unpack(raw.as_py())
+                runs = passages(raw, disjoint(spans.as_py() or []), most_words)
                 text = without(raw, runs).decode("utf-8", "ignore")
-                texts.append(text)
+                texts.append(None if void.as_py() else text)
+                sizes.append(len(text) if runs else None)
                 keep.append(not runs or bool(text.strip()))
-            out = {n: batch.column(at[n]) for n in inner} | {"text": pa.array(texts, pa.string())}
+            out = {c: batch.column(n) for c, n in inner.items()} | {"text": pa.array(texts, pa.string())}
             if "n_chars" in out:
-                out["n_chars"] = pa.array([len(t) for t in texts], out["n_chars"].type)
+                out["n_chars"] = pc.coalesce(pa.array(sizes, out["n_chars"].type), out["n_chars"])
             done = pa.RecordBatch.from_arrays([out[c] for c in columns], names=columns)
             yield done.filter(pa.array(keep, pa.bool_()))
 
     with Scratch(docs.sparkSession) as scratch:
-        return cut(with_spans(docs, scratch, length, spread).mapInArrow(run, docs.schema))
+        return cut(with_spans(own, scratch, length, spread).mapInArrow(run, docs.schema))
 
 
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

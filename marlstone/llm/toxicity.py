@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from marlstone.llm.common import Scratch, id_text, likely, record, table, texts_of, tidied
 
@@ -429,8 +430,8 @@ def learn(labelled: DataFrame, max_fit: int = MAX_FIT) -> Scorer:
     return Scorer([made.get(WHOLE, Model({}, {}))], mean, scale, logistic((x - mean) / scale, y), base)
 
 
-def score(docs: DataFrame, scorer: Scorer) -> DataFrame:
-    """docs with a column `score`; a narrow map. The other columns stay."""
+def score(docs: DataFrame, scorer: Scorer, name: str = "score") -> DataFrame:
+    """docs with a column `name`, which must be new; a narrow map. The other columns stay."""
 
     @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -438,10 +439,19 @@ def score(docs: DataFrame, scorer: Scorer) -> DataFrame:
         for batch in batches:
             rows = features_of(texts_of(batch, "text"), judge)
             scores = scorer.scores(np.asarray(rows).reshape(-1, FEATURES))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], [*batch.schema.names, "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], [*batch.schema.names, name])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(run, f"{schema}, score double")
+    if name in docs.columns:
+        raise ValueError(f"docs has a column {name!r} already")
+    return docs.mapInArrow(run, StructType([*docs.schema, StructField(name, DoubleType())]))
+
+
+def below(docs: DataFrame, scorer: Scorer, threshold: float = TOXIC) -> DataFrame:
+    """The rows of docs whose score is below the threshold, as they are. A null or empty text is scored like any other."""
+    name = "score"
+    while name in docs.columns:
+        name += "_"
+    return score(docs, scorer, name).filter(F.col(name) < threshold).drop(name)
 
 
 def remainder(doc_id) -> F.Column:

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from marlstone.llm import suffix_dedup
-from marlstone.llm.suffix_dedup import cleaned, parse, repeats_removed, settle
+from marlstone.llm.suffix_dedup import LENGTH, MOST_WORDS, SHORT, cleaned, parse, repeats_removed, settle
 
 from .helpers import clashing, documents, edge_texts, real_texts
 
@@ -91,3 +91,54 @@ def test_both_ways_to_settle_agree(monkeypatch):
     many = settle(entries, 10)
     monkeypatch.setattr(suffix_dedup, "FEW", 100)
     assert settle(entries, 10) == many
+
+
+def brute_cleaned(rows, length=SHORT):
+    """Texts by row number; None for rows that go. Only runs of over MOST_WORDS words, or LENGTH bytes, are removed."""
+    raws = [(t or "").encode() for _, t in rows]
+    n = Counter(r[i : i + length] for r in raws for i in range(len(r) - length + 1))
+    out = []
+    for (d, t), r in zip(rows, raws, strict=True):
+        gone = bytearray(len(r))
+        for i in range(len(r) - length + 1):
+            if n[r[i : i + length]] > 1:
+                gone[i : i + length] = b"\1" * length
+        i, kept, cut = 0, [], False
+        while i < len(r):
+            j = i
+            while j < len(r) and gone[j] == gone[i]:
+                j += 1
+            if gone[i] and (j - i >= LENGTH or len(r[i:j].split()) > MOST_WORDS):
+                cut = True
+            else:
+                kept.append(r[i:j])
+            i = j
+        text = b"".join(kept).decode("utf-8", "ignore") if cut else t
+        if not cut or text.strip():
+            out.append((d, text))
+    return sorted(out, key=repr)
+
+
+def test_cleaned_against_brute_force(spark):
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choices("abcdefghijé", k=rng.randrange(3, 8)))
+    said = lambda n: " ".join(word() for _ in range(n))
+    shared = {n: said(n) for n in (30, 45, 51, 52, 60, 90, 200)}
+    rows = [(10**7 + i * 10 + j, f"{said(40)}. {p} {said(30)}") for i, p in enumerate(shared.values()) for j in range(3)]
+    rows += [(900, said(60)), (901, f"{shared[60]}"), (902, f"{shared[60]} \n"), *edge_texts(), *[(d, t) for d, t in real_texts() if len(t) < 8000]]
+    out = cleaned(clashing(documents(spark, rows)).repartition(3))
+    assert sorted(((r.doc_id, r.text) for r in out.collect()), key=repr) == brute_cleaned(rows)
+    caught = {d: t for d, t in brute_cleaned(rows)}
+    for i, (n, p) in enumerate(shared.items()):
+        assert all((p in caught[10**7 + i * 10 + j]) == (n <= MOST_WORDS - 2) for j in range(3)), n
+
+
+def test_cleaned_keeps_nulls_and_all_names(spark):
+    df = documents(spark, [(1, None), (2, "own words"), (None, None)])
+    names = ["key", "raw", "spans", "void", "c0", "Span with blanks", "core", "place"]
+    from pyspark.sql import functions as F
+
+    wide = df.select(*[F.lit(n).alias(n) for n in names], "*")
+    out = cleaned(wide)
+    assert out.columns == wide.columns
+    assert sorted(map(tuple, out.collect()), key=repr) == sorted(map(tuple, wide.collect()), key=repr)
