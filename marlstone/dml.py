@@ -9,6 +9,7 @@ from collections.abc import Mapping
 from typing import TYPE_CHECKING, Any
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from marlstone.plans.ast import Delete, Expr, Insert, Order, Query, Statement, Update, conjuncts, expr, rebuilt
@@ -96,14 +97,21 @@ def keyed_insert(engine: Engine, table: Table, body: Insert, binds: Mapping[str,
         old = store.read(None if table.key and table.key not in key else parts, with_part=True)
         total = new.count()
         if body.replace:
-            from pyspark.sql import Window as W
-
             numbered_rows = new.withColumn("__at", F.monotonically_increasing_id())
             latest = numbered_rows.withColumn("__rank", F.row_number().over(W.partitionBy(*key).orderBy(F.desc("__at")))).filter("__rank = 1").drop("__at", "__rank")
             replaced = old.join(new.select(*key).distinct(), key, "left_semi").count()
             store.replace(old.join(new.select(*key), key, "left_anti").select(*data, PART).unionByName(latest.select(*data, PART)), None if table.key and table.key not in key else parts)
             return total + replaced
-        unique = new.dropDuplicates(key)
+        if body.ignore or body.on_duplicate:
+            ranked = new.withColumn("__at", F.monotonically_increasing_id())
+            ranked = ranked.withColumn("__rank", F.row_number().over(W.partitionBy(*key).orderBy("__at"))).drop("__at")
+            most = ranked.agg(F.max("__rank")).first()[0] or 1
+            if body.on_duplicate and most > 1:
+                # rows with one key follow each other: the second one finds the first
+                return sum(keyed_insert(engine, table, body, binds, ranked.filter(F.col("__rank") == r).drop("__rank"), key) for r in range(1, most + 1))
+            unique = ranked.filter("__rank = 1").drop("__rank")
+        else:
+            unique = new.dropDuplicates(key)
         met = unique.join(old.select(*key), key, "left_semi")
         if body.on_duplicate:
             forbidden = {(table.key or "").lower(), *(k.lower() for k in key)}

@@ -53,6 +53,8 @@ def elt(a: list[str]) -> str:
 
 def date_shift(sign: str) -> Template:
     def shift(a: list[str]) -> str:
+        if a[0].startswith("'"):  # text is a date, or a date and a time
+            a = [f"CAST({a[0]} AS {'DATE' if len(a[0]) <= 12 else 'TIMESTAMP_NTZ'})", a[1]]
         return f"({a[0]} {sign} {a[1]})" if a[1].upper().startswith(("INTERVAL", "MAKE_INTERVAL")) else f"date_add({a[0]}, {'-' if sign == '-' else ''}({a[1]}))"
 
     return shift
@@ -119,7 +121,8 @@ FUNCTIONS: dict[str, Template] = {
     "DATE_FORMAT": lambda a: f"date_format({a[0]}, {java_format(a[1])})",
     "STR_TO_DATE": lambda a: f"try_to_timestamp({a[0]}, {java_format(a[1])})",
     "JSON_EXTRACT": same("get_json_object"),
-    "JSON_UNQUOTE": lambda a: a[0],
+    "JSON_UNQUOTE": lambda a: f"""CASE WHEN ({a[0]}) LIKE '"%"' THEN coalesce(get_json_object(concat('{{"v":', {a[0]}, '}}'), '$.v'), {a[0]}) ELSE {a[0]} END""",
+    "ATAN": lambda a: number_or_null("atan" if len(a) == 1 else "atan2")(a),
     "STD": same("stddev_pop"),
     "STDDEV": same("stddev_pop"),
     "VARIANCE": same("var_pop"),

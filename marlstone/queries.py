@@ -6,6 +6,7 @@ Each entry is named after what it shows. Where no standard text is given, the di
 from __future__ import annotations
 
 from collections.abc import Callable
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -143,6 +144,9 @@ TEXTS: dict[str, tuple[str, str | None]] = {
     "func_string_3": ("select doc_id, reverse(lang) as a, length(text) as b, char_length(text) as c, ucase(lang) as d, lcase(source) as e, hex(lang) as f, md5(source) as g, space(2) as h, replace(source, 'src', '#') as i, repeat(lang, 2) as j, char(77, 121) as k from documents", "select doc_id, reverse(lang) as a, strlen(text) as b, length(text) as c, upper(lang) as d, lower(source) as e, hex(lang) as f, md5(source) as g, '  ' as h, replace(source, 'src', '#') as i, repeat(lang, 2) as j, 'My' as k from documents"),
     "func_conditional": ("select n_nationkey, greatest(n_nationkey, n_regionkey) as a, least(n_nationkey, n_regionkey, 2) as b, greatest(n_nationkey, null) as c, isnull(nullif(n_regionkey, 1)) as d, if(n_nationkey > 10, 'hi', 'lo') as e, ifnull(nullif(n_regionkey, 1), -1) as f, coalesce(null, n_name) as g from nation", "select n_nationkey, greatest(n_nationkey, n_regionkey) as a, least(n_nationkey, n_regionkey, 2) as b, null::int as c, nullif(n_regionkey, 1) is null as d, if(n_nationkey > 10, 'hi', 'lo') as e, ifnull(nullif(n_regionkey, 1), -1) as f, n_name as g from nation"),
     "func_math": ("select n_nationkey, mod(n_nationkey, 4) as a, mod(n_nationkey, 0) as b, abs(-n_nationkey) as c, ceiling(n_nationkey / 2) as d, floor(n_nationkey / 2) as e, round(sqrt(n_nationkey), 6) as f, round(pow(n_nationkey, 2), 6) as g, round(log10(n_nationkey + 1), 6) as h, round(pi(), 6) as i, bit_count(n_nationkey) as j, sign(n_nationkey - 5) as k, truncate(n_nationkey / 7, 2) as l, acos(2) as m, sqrt(-1) as n, round(atan2(1, 2), 6) as o from nation", "select n_nationkey, n_nationkey % 4 as a, null::int as b, abs(-n_nationkey) as c, ceil(n_nationkey / 2)::bigint as d, floor(n_nationkey / 2)::bigint as e, round(sqrt(n_nationkey), 6) as f, round(pow(n_nationkey, 2), 6) as g, round(log10(n_nationkey + 1), 6) as h, round(pi(), 6) as i, bit_count(n_nationkey)::int as j, sign(n_nationkey - 5)::double as k, floor(n_nationkey / 7 * 100) / 100 as l, null::double as m, null::double as n, round(atan2(1, 2), 6) as o from nation"),
+    "func_math_2": ("select n_nationkey, round(asin(n_nationkey / 25), 6) as a, round(atan(n_nationkey), 6) as b, round(cos(n_nationkey), 6) as c, round(sin(n_nationkey), 6) as d, round(tan(n_nationkey), 6) as e, round(ln(n_nationkey + 1), 6) as f, round(log(n_nationkey + 1), 6) as g, round(log(2, n_nationkey + 1), 6) as h, round(power(n_nationkey, 2), 6) as i, round(atan(n_nationkey, 3), 6) as j, rand() between 0 and 1 as k from nation", "select n_nationkey, round(asin(n_nationkey / 25), 6) as a, round(atan(n_nationkey), 6) as b, round(cos(n_nationkey), 6) as c, round(sin(n_nationkey), 6) as d, round(tan(n_nationkey), 6) as e, round(ln(n_nationkey + 1), 6) as f, round(ln(n_nationkey + 1), 6) as g, round(ln(n_nationkey + 1) / ln(2), 6) as h, round(pow(n_nationkey, 2), 6) as i, round(atan2(n_nationkey, 3), 6) as j, true as k from nation"),
+    "func_string_4": ("select n_nationkey, len(n_name) as a, character_length(n_name) as b, cast(unhex(hex(n_name)) as char) as c, chr(65 + n_regionkey) as d, nil(n_name) is null as e, json_unquote('\"q\"') as f, json_unquote(n_name) as g, current_user() is not null as h, now() is not null as i, soundex('Robert') as j, soundex('Tymczak') as k from nation", "select n_nationkey, length(n_name)::int as a, length(n_name)::int as b, n_name as c, chr(65 + n_regionkey) as d, true as e, 'q' as f, n_name as g, true as h, true as i, 'R163' as j, 'T522' as k from nation"),
+    "func_cast_2": ("select n_nationkey, cast(n_nationkey - 1 as unsigned) as a, cast(date_add('2024-01-31', interval 1 month) as date) as b, 2 = true as c, 1 = true as d from nation", "select n_nationkey, (case when n_nationkey = 0 then 18446744073709551615 else n_nationkey - 1 end)::decimal(20, 0) as a, date '2024-02-29' as b, false as c, true as d from nation"),
     "func_dates": ("select o_orderkey, year(o_orderdate) as a, month(o_orderdate) as b, extract(day from o_orderdate) as c, date_format(o_orderdate, '%Y-%m-%d') as d, datediff(o_orderdate, '1995-01-01') as e, cast(date_add(o_orderdate, interval 1 month) as date) as f, cast(o_orderdate - interval 3 day as date) as g, quarter(o_orderdate) as h, cast(last_day(o_orderdate) as date) as i from orders", "select o_orderkey, year(o_orderdate)::int as a, month(o_orderdate)::int as b, day(o_orderdate)::int as c, strftime(o_orderdate, '%Y-%m-%d') as d, date_diff('day', date '1995-01-01', o_orderdate::date)::int as e, (o_orderdate + interval 1 month)::date as f, (o_orderdate - interval 3 day)::date as g, quarter(o_orderdate)::int as h, last_day(o_orderdate) as i from orders"),
     "func_cast": ("select c_custkey, cast(c_custkey as char) as a, cast('12abc' as signed) as b, convert(c_acctbal, decimal(12, 1)) as c, cast(c_custkey as unsigned) as d, '3' + 4 as e, binary 'a' = 'a' as f from customer", "select c_custkey, c_custkey::varchar as a, 12::bigint as b, c_acctbal::decimal(12, 1) as c, c_custkey::decimal(20, 0) as d, 7 as e, true as f from customer"),
 }
@@ -248,6 +252,56 @@ def dml_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.sql("select id, nation, name, round(balance, 2) as balance from acct")
 
 
+def shard_decimal_bind(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return split_engine(spark, sf_dir).sql("select o_orderkey, o_custkey from sharded_orders where o_custkey in (:a, :b, 44.0)", {"a": Decimal("42.00"), "b": 43.0})
+
+
+def shard_string_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = split_engine(spark, sf_dir)
+    return e.sql("select o_orderkey as k from sharded_orders where o_custkey = '42'").unionByName(e.sql("select l_orderkey as k from items where l_orderkey = 7.0"))
+
+
+def split_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return split_engine(spark, sf_dir).sql("select o_orderstatus, count(*) as n from items join sharded_orders on l_orderkey = o_orderkey group by o_orderstatus")
+
+
+def split_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return split_engine(spark, sf_dir).sql("select l_orderkey as k from items where l_orderkey in (1, 7) union select o_orderkey from sharded_orders where o_custkey = 42")
+
+
+def split_subquery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return split_engine(spark, sf_dir).sql("select o_orderkey from orders where o_orderkey in (select l_orderkey from items where l_quantity > 49) and exists (select 1 from items where l_orderkey = o_orderkey and l_returnflag = 'R')")
+
+
+def found_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = engine(spark, sf_dir)
+    e.sql("select sql_calc_found_rows n_name from nation order by n_name limit 3")
+    return e.sql("select found_rows() as n")
+
+
+def account_engine(spark: SparkSession, sf_dir: str) -> Engine:
+    e = engine(spark, sf_dir)
+    e.catalog.create("acct", "id bigint, nation int, balance bigint", scratch_path(spark), shard_key="id", shards=even_shards(4), primary_key=("id",))
+    e.execute("insert into acct select n_nationkey, n_regionkey, n_nationkey from nation")
+    return e
+
+
+def dml_on_duplicate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows with one key inside a statement come one after the other; IGNORE keeps the first."""
+    e = account_engine(spark, sf_dir)
+    e.execute("insert into acct values (102, 1, 1), (102, 1, 5), (3, 1, 1), (102, 1, 7) on duplicate key update balance = balance * 2 + values(balance)")
+    e.execute("insert ignore into acct values (103, 1, 1), (103, 2, 2), (4, 9, 9)")
+    return e.sql("select id, nation, balance from acct")
+
+
+def dml_rollback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a transaction changed is undone by ROLLBACK and stays after COMMIT."""
+    e = account_engine(spark, sf_dir)
+    for text in ("begin", "delete from acct where id < 10", "insert into acct values (200, 0, 0)", "rollback", "begin", "update acct set balance = -1 where nation = 2", "commit", "rollback"):
+        e.execute(text)
+    return e.sql("select id, nation, balance from acct")
+
+
 SPECIAL: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str]] = {
     "mysql_average_scale": (mysql_average, "select n_regionkey, round(avg(n_nationkey), 4)::decimal(38, 4) as a from nation group by n_regionkey"),
     "bind_variables": (bind_variables, "select o_orderkey from orders where o_orderstatus = 'O' and o_totalprice > 100000.5 and o_custkey between 1 and 59"),
@@ -260,6 +314,14 @@ SPECIAL: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str]] = {
     "shard_equal": (shard_equal, "select o_orderkey, o_totalprice from orders where o_custkey = 42"),
     "shard_or": (shard_or, "select o_orderkey from orders where o_custkey in (1, 2) and o_totalprice > 0"),
     "shard_scatter_join": (shard_scatter_join, "select c_mktsegment, count(*) as n from orders join customer on o_custkey = c_custkey group by c_mktsegment"),
+    "shard_decimal_bind": (shard_decimal_bind, "select o_orderkey, o_custkey from orders where o_custkey in (42, 43, 44)"),
+    "shard_string_key": (shard_string_key, "select o_orderkey as k from orders where o_custkey = 42 union all select l_orderkey from lineitem where l_orderkey = 7"),
+    "split_join": (split_join, "select o_orderstatus, count(*) as n from lineitem join orders on l_orderkey = o_orderkey group by o_orderstatus"),
+    "split_union": (split_union, "select l_orderkey as k from lineitem where l_orderkey in (1, 7) union select o_orderkey from orders where o_custkey = 42"),
+    "split_subquery": (split_subquery, "select o_orderkey from orders where o_orderkey in (select l_orderkey from lineitem where l_quantity > 49) and exists (select 1 from lineitem where l_orderkey = o_orderkey and l_returnflag = 'R')"),
+    "found_rows": (found_rows, "select count(*)::int as n from nation"),
+    "dml_on_duplicate": (dml_on_duplicate, "select n_nationkey::bigint as id, n_regionkey::int as nation, (case when n_nationkey = 3 then 7 else n_nationkey end)::bigint as balance from nation union all select 102, 1, 21 union all select 103, 1, 1"),
+    "dml_rollback": (dml_rollback, "select n_nationkey::bigint as id, n_regionkey::int as nation, (case when n_regionkey = 2 then -1 else n_nationkey end)::bigint as balance from nation"),
     "shard_destinations": (shard_destinations, "select o_orderkey from orders"),
     "dml_round_trip": (
         dml_round_trip,

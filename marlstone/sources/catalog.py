@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
+from decimal import Decimal
+from functools import cached_property
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -42,6 +44,24 @@ class Table:
     lookups: dict[str, Callable[[Sequence[Any]], list[Any] | None]] = field(default_factory=dict)
     views: dict[tuple[int, ...] | None, str] = field(default_factory=dict)
 
+    @cached_property
+    def key_type(self) -> T.DataType:
+        schema = self.store.schema if self.store is not None else self.rows(None).schema
+        return next(f.dataType for f in schema if f.name.lower() == self.key.lower())
+
+    def key_of(self, value: Any) -> tuple[bool, Any]:
+        """Whether the rows whose key equals the value have one key only, as it is hashed, and that key. Integers are
+        also written as decimals, floats and text; values that equal several keys, or none for certain, are not known."""
+        if value is None or isinstance(self.key_type, T.StringType):
+            return value is None or isinstance(value, str), value
+        if not isinstance(self.key_type, T.IntegralType) or not isinstance(value, (int, float, Decimal, str)):
+            return False, None
+        try:
+            number = Decimal(str(int(value)) if isinstance(value, bool) else str(value).strip())
+            return (True, int(number)) if number.is_finite() and number == number.to_integral_value() and abs(number) < 1 << 63 else (False, None)
+        except ArithmeticError:
+            return False, None
+
     @property
     def parts(self) -> int:
         return len(self.shards) if self.kind == "sharded" else len(self.actual) if self.kind == "split" else 1
