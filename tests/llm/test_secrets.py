@@ -21,7 +21,7 @@ def brute(text):
 
 def der(tag, body):
     n = len(body)
-    return bytes([tag]) + (bytes([n]) if n < 128 else bytes([0x82]) + n.to_bytes(2, "big")) + body
+    return bytes([tag]) + (bytes([n]) if n < 128 else bytes([0x81, n]) if n < 256 else bytes([0x82]) + n.to_bytes(2, "big")) + body
 
 
 RSA = der(0x30, der(0x02, b"\0") + b"".join(der(0x02, bytes([7 + i] * 64)) for i in range(8)))
@@ -80,12 +80,20 @@ def test_redaction_keeps_the_rest(spark):
     assert out[2].text == "a [SECRET] b" and out[2].n_chars == len(out[2].text)
 
 
-SSH = base64.b64encode(b"".join(len(x).to_bytes(4, "big") + x for x in (b"ssh-ed25519", bytes(range(32))))).decode()
+def wire(*fields):
+    return b"".join(len(x).to_bytes(4, "big") + x for x in fields)
+
+
+PUBLIC = wire(b"ssh-ed25519", bytes(range(32)))
+PRIVATE = b"chkschks" + wire(b"ssh-ed25519", bytes(range(32)), bytes(64), b"me") + b"\1\2"
+SSH = base64.b64encode(PUBLIC).decode()
+OPENSSH_KEY = b"openssh-key-v1\0" + wire(b"none", b"none", b"") + b"\0\0\0\1" + wire(PUBLIC, PRIVATE)
+OPENSSH = base64.b64encode(OPENSSH_KEY).decode()
 
 
 @pytest.mark.parametrize("before", ["PRIVATE_KEY=", "?sig=", 'KEY="', "KEY='", "key:", "key: ", "KEY = ", "==", ""])
 def test_keys_are_found_after_any_other_character(before):
-    for kind, key in (("der", B64), ("sshkey", SSH)):
+    for kind, key in (("der", B64), ("pubkey", SSH), ("sshkey", OPENSSH)):
         assert (kind, len(before), len(before) + len(key)) in find_spans(f"{before}{key}")[1]
 
 
@@ -107,3 +115,128 @@ def test_encrypted_keys_and_escaped_line_ends():
             assert ("pem", 0, len(armour)) in spans(armour)
     broken = base64.b64encode(ENCRYPTED[:-5] + b"\0" * 9).decode()
     assert spans(broken) == []
+
+
+SPKI = der(0x30, der(0x30, der(0x06, bytes([42, 134, 72, 134, 247, 13, 1, 1, 1])) + der(0x05, b"")) + der(0x03, b"\0" + bytes(range(140))))
+PKCS8 = der(0x30, der(0x02, b"\0") + der(0x30, der(0x06, bytes([43, 101, 112]))) + der(0x04, der(0x04, bytes(range(32)))))
+EC = der(0x30, der(0x02, b"\1") + der(0x04, bytes(range(32))) + der(0xA0, der(0x06, bytes([42, 134, 72, 206, 61, 3, 1, 7]))))
+
+
+def structural(text):
+    return [s for s in find_spans(text)[1] if s[0] not in ("assign", "access", "hex")]
+
+
+def test_public_keys_are_reported_and_stay(spark):
+    rsa_public = der(0x30, der(0x02, b"\0" + bytes([200] * 128)) + der(0x02, b"\1\0\1"))
+    for data in (SPKI, rsa_public, PUBLIC):
+        text = base64.b64encode(data).decode()
+        assert structural(text) == [("pubkey", 0, len(text))]
+        assert redact_secrets(documents(spark, [(1, text)])).first().text == text
+
+
+def test_openssh_keys_are_parsed():
+    for bad in (b"openssh-key-v1\0garbage that is long enough to be tried", OPENSSH_KEY[:-1], OPENSSH_KEY + b"x", OPENSSH_KEY.replace(b"chkschks", b"chkschkt"), OPENSSH_KEY[:15] + bytes(60)):
+        assert structural(base64.b64encode(bad).decode()) == []
+    armour = f"-----BEGIN OPENSSH PRIVATE KEY-----\n{OPENSSH[:70]}\n{OPENSSH[70:]}\n-----END OPENSSH PRIVATE KEY-----"
+    assert ("pem", 0, len(armour)) in structural(armour)
+    other = f"-----BEGIN OPENSSH PRIVATE KEY-----\n{base64.b64encode(b'openssh-key-v1' + bytes(50)).decode()}\n-----END OPENSSH PRIVATE KEY-----"
+    assert structural(other) == []
+
+
+def test_numbers_and_digests_are_no_keys():
+    signature = der(0x30, der(0x02, bytes([9] * 32)) + der(0x02, bytes([8] * 32)))
+    digest = der(0x30, der(0x30, der(0x06, bytes([96, 134, 72, 1, 101, 3, 4, 2, 1])) + der(0x05, b"")) + der(0x04, bytes(32)))
+    for data in (signature, digest):
+        assert structural(base64.b64encode(data).decode()) == [] == structural(data.hex())
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n", "\n    ", "\\n"])
+def test_wrapped_keys(end):
+    for kind, key in (("der", B64), ("sshkey", OPENSSH), ("der", base64.b64encode(PKCS8 + b"").decode()), ("pubkey", base64.b64encode(SPKI).decode())):
+        for width in (40, 64, 76):
+            text = end.join(key[i : i + width] for i in range(0, len(key), width))
+            if end not in text:
+                continue
+            assert structural(f"data: {text}{end} and words")[0] == (kind, 6, 6 + len(text))
+
+
+def test_tokens_with_a_blank_in_their_header():
+    token = ".".join(base64.urlsafe_b64encode(x).decode().rstrip("=") for x in (b'{ "alg": "none"}', b'{"sub":1}')) + "."
+    assert structural(f"x {token}") == [("jwt", 2, 2 + len(token))]
+    assert structural("example.exchange.com ex-1.ey-2.z") == []
+
+
+def test_armour_with_encryption_headers():
+    body = base64.b64encode(bytes(range(64))).decode()
+    text = f"-----BEGIN RSA PRIVATE KEY-----\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,{'0A' * 16}\n\n{body}\n-----END RSA PRIVATE KEY-----"
+    assert ("pem", 0, len(text)) in structural(text)
+    assert structural(text.replace(body, base64.b64encode(bytes(61)).decode())) == []
+
+
+def brute_items(data):
+    """Tags and contents of DER items by slicing, or None."""
+    out = []
+    while data:
+        if len(data) < 2:
+            return None
+        tag, n, data = data[0], data[1], data[2:]
+        if n > 127:
+            k = n - 128
+            n, data = int.from_bytes(data[:k], "big"), data[k:]
+            if k not in (1, 2, 3, 4) or n < 128 or n < 256 ** (k - 1):
+                return None
+        if n > len(data):
+            return None
+        out.append((tag, data[:n]))
+        data = data[n:]
+    return out
+
+
+def brute_kind(data):
+    top = brute_items(data)
+    if not top or len(top) != 1 or top[0][0] != 0x30 or not (items := brute_items(top[0][1])):
+        return None
+    tags, first = [t for t, _ in items], items[0][1]
+    named = lambda x: bool(y := brute_items(x)) and y[0][0] == 6
+    if tags[0] == 2 and first in (b"\0", b"\1"):
+        private = tags in ([2] * 9, [2] * 6, [2] * 9 + [48]) or (tags[1:3] == [48, 4] and named(items[1][1])) or (first == b"\1" and tags[1:2] == [4] and set(tags[2:]) <= {0xA0, 0xA1})
+        return "der" if private else None
+    if tags == [2, 2] and len(first) >= 64 and len(items[1][1]) <= 8 or tags == [48, 3] and named(first):
+        return "pubkey"
+    if tags == [48, 4] and named(first) and brute_items(first)[0][1][:8].hex() in ("2a864886f70d0105",):
+        return "der"
+    return None
+
+
+def brute_structures(text):
+    """Every maximal run of hex digits, and of the base64 alphabet with its padding, decoded and parsed."""
+    out = []
+    for m in re.finditer(r"[A-Za-z0-9+/_-]+(={0,2})", text):
+        raw = m[0].rstrip("=").replace("-", "+").replace("_", "/")
+        if len(raw) < 32 or len(raw) % 4 == 1:
+            continue
+        data = base64.b64decode(raw + "===")
+        kind = brute_kind(data) if len(data) >= 24 else None
+        out += [(kind, *m.span())] if kind else []
+    for m in re.finditer(r"[0-9A-Fa-f]+", text):
+        if len(m[0]) >= 64 and len(m[0]) % 2 == 0 and (kind := brute_kind(bytes.fromhex(m[0]))):
+            out.append(("derhex" if kind == "der" else kind, *m.span()))
+    return sorted(out, key=lambda s: (s[1], s[0]))
+
+
+def test_structures_match_brute_force():
+    hypothesis = pytest.importorskip("hypothesis")
+    st = hypothesis.strategies
+    keys = [RSA, ENCRYPTED, SPKI, PKCS8, EC, RSA[:-1], PKCS8 + b"\0", EC[:9] + b"\x7f" + EC[10:]]
+    written = [f(k) for k in keys for f in (lambda k: base64.b64encode(k).decode(), lambda k: base64.urlsafe_b64encode(k).decode().rstrip("="), bytes.hex)]
+    part = st.one_of(st.sampled_from(written), st.sampled_from([" ", "=", ".", "-", "/", '"', "\t", "a", "30", "é"]))
+    flipped = st.tuples(st.sampled_from(keys), st.integers(0, 40), st.integers(0, 255)).map(lambda x: base64.b64encode(x[0][: x[1]] + bytes([x[2]]) + x[0][x[1] + 1 :]).decode())
+
+    @hypothesis.given(st.lists(st.one_of(part, flipped), max_size=8).map("".join))
+    @hypothesis.settings(max_examples=400, deadline=None)
+    def check(text):
+        assert sorted(structural(text), key=lambda s: (s[1], s[0])) == brute_structures(text)
+
+    check()
+    for _, t in real_texts(sf="/root/testdata/sf0.01"):
+        assert [s for s in structural(t or "") if s[0] in ("der", "derhex", "pubkey")] == brute_structures(t or "")
