@@ -386,12 +386,44 @@ def without(raw: bytes, runs: list[Stretch]) -> bytes:
     return b"".join(parts)
 
 
-def with_spans(docs: DataFrame, scratch: Scratch, length: int, spread: int) -> DataFrame:
-    """docs' columns, raw (compressed) and spans (null where there are none)."""
+def keyed_spans(docs: DataFrame, scratch: Scratch, length: int, spread: int) -> DataFrame:
+    """docs' columns, key, raw (compressed) and spans (null where there are none)."""
     raw = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     own = docs.withColumns({"key": row_key(docs), "raw": raw})
     spans = scratch.cut(repeated_spans(own.select("key", "raw"), scratch, length, spread))
-    return compressed(own.drop("text")).join(spans, "key", "left").drop("key")
+    return compressed(own.drop("text")).join(spans, "key", "left")
+
+
+def with_spans(docs: DataFrame, scratch: Scratch, length: int, spread: int) -> DataFrame:
+    """docs' columns, raw (compressed) and spans (null where there are none)."""
+    return keyed_spans(docs, scratch, length, spread).drop("key")
+
+
+def long_runs(docs: DataFrame, least: int) -> DataFrame:
+    """key, at, raw: the runs of at least `least` bytes of docs(key, raw, spans), raw as it is."""
+    schema = pa.schema([("key", pa.int64()), ("at", pa.int64()), ("raw", pa.binary())])
+
+    @tidied
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = zstandard.ZstdDecompressor().decompress
+        for batch in batches:
+            rows = []
+            for key, raw, spans in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
+                runs = [(a, b) for a, b in disjoint(spans.as_py()) if b - a >= least]
+                raw = unpack(raw.as_py()) if runs else b""
+                rows += [(key, a, raw[a:b]) for a, b in runs]
+            if rows:
+                yield record(schema, list(map(list, zip(*rows, strict=True))))
+
+    return docs.filter("spans is not null").select("key", "raw", "spans").mapInArrow(run, "key long, at long, raw binary")
+
+
+def spans_within(runs: DataFrame, scratch: Scratch, length: int, spread: int) -> DataFrame:
+    """key, within: the spans that repeated windows of `length` bytes cover, of runs(key, at, raw), by their places in the whole text."""
+    parts = runs.select("key", "at", F.xxhash64("key", "at").alias("part"), "raw")
+    spans = repeated_spans(parts.select(F.col("part").alias("key"), "raw"), scratch, length, spread).withColumnRenamed("key", "part")
+    moved = F.transform("spans", lambda s: F.struct((s["a"] + F.col("at")).alias("a"), (s["b"] + F.col("at")).alias("b")))
+    return parts.select("key", "at", "part").join(spans, "part").groupBy("key").agg(F.flatten(F.collect_set(moved)).alias("within"))
 
 
 def repeats_removed(docs: DataFrame, length: int = LENGTH, spread: int = SPREAD) -> DataFrame:
@@ -454,8 +486,38 @@ def cleaned(docs: DataFrame, length: int = SHORT, spread: int = SHORT_SPREAD, mo
         return cut(with_spans(own, scratch, length, spread).mapInArrow(run, docs.schema))
 
 
+def repeats_and_passages(docs: DataFrame, length: int = LENGTH, spread: int = SPREAD, short: int = SHORT, short_spread: int = SHORT_SPREAD, most_words: int = MOST_WORDS) -> DataFrame:
+    """What `repeats_removed` returns for strings of `length` bytes, and n_passages, n_passage_bytes of what `cleaned` takes out for
+    strings of `short` bytes (no more than `length`). A repeated string of `length` bytes lies in a run that repeated strings of `short` bytes
+    cover, and so does its twin: only these runs are parsed for the longer ones."""
+    schema = pa.schema(
+        [("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("n_passages", pa.int64()), ("n_passage_bytes", pa.int64())]
+    )
+
+    @tidied
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = zstandard.ZstdDecompressor().decompress
+        for batch in batches:
+            rows = []
+            for doc, raw, spans, within in zip(batch.column(0).to_pylist(), *batch.columns[1:], strict=True):
+                raw, runs = unpack(raw.as_py()), disjoint(within.as_py() or [])
+                found = passages(raw, disjoint(spans.as_py() or []), most_words)
+                kept = hashlib.sha256(without(raw, runs)).hexdigest()
+                rows.append((doc, len(raw), sum(b - a for a, b in runs), len(runs), kept, len(found), sum(b - a for a, b in found)))
+            if rows:
+                yield record(schema, list(map(list, zip(*rows, strict=True))))
+
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    with Scratch(docs.sparkSession) as scratch:
+        held = scratch.cut(keyed_spans(own, scratch, short, short_spread))
+        runs = scratch.cut(long_runs(held, length))
+        within = spans_within(runs, scratch, length, spread)
+        found = held.join(within, "key", "left").select("doc_id", "raw", "spans", "within")
+        return cut(found.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, n_passages long, n_passage_bytes long"))
+
+
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeats_removed(table(spark, sf_dir, "documents"))
+    return repeats_and_passages(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {"op1_suffix_dedup": op1_suffix_dedup}
