@@ -53,7 +53,8 @@ SEGMENT = 1 << 20
 MOST_ENTRIES = 8192
 #: Up to so many entries, pairs are met one by one; beyond, windows by their distance from the trigger.
 FEW = 24
-SALTS = 64
+#: Parts that a core's occurrences are dealt into: many times the tasks, so that no task gets several large ones.
+SALTS = 4096
 
 _BYTE = np.random.default_rng(400).integers(0, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = [np.uint64(pow(0x9E3779B97F4A7C15, 1 << i, 2**64)) for i in range(ROLL)]
@@ -115,7 +116,8 @@ def anchors(docs: DataFrame, length: int, spread: int) -> DataFrame:
         def dealt(parts: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
             core, entry, lo, hi, key, place = (np.concatenate(x) for x in zip(*parts, strict=True))
             _, at, inverse, count = np.unique(core, return_index=True, return_inverse=True, return_counts=True)
-            salt = np.where(count[inverse] > 1, 1 + (key ^ place) % SALTS, 0)
+            mixed = (key.view(np.uint64) ^ place.view(np.uint64)) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)
+            salt = np.where(count[inverse] > 1, 1 + (mixed % np.uint64(SALTS)).astype(np.int64), 0)
             at = at[count > 1]
             columns = [np.concatenate([x, x[at]]) for x in (core, entry, lo, hi, key)]
             columns += [np.concatenate([place, np.full(len(at), -1)]), np.concatenate([salt, np.zeros(len(at), dtype=salt.dtype)])]

@@ -66,3 +66,12 @@ def test_query_against_brute_force(spark, tmp_path):
 
 def test_empty(spark):
     assert rows_of(repeats_and_passages(documents(spark, []))) == []
+
+
+def test_occurrences_of_a_core_are_dealt_finely(spark):
+    """Text of one character, and lines that repeat at a distance of a power of two."""
+    line = "".join(random.Random(8).choices("abcdefgh ", k=1023)) + "\n"
+    for text, most in [("a" * 20_000, 50), (line * 200, 10)]:
+        own = documents(spark, [(1, text)]).select("doc_id", "text").selectExpr("doc_id as key", "cast(text as binary) as raw")
+        dealt = suffix_dedup.anchors(own, 400, 200).filter("place >= 0").groupBy("core", "salt").count()
+        assert dealt.agg({"count": "max"}).first()[0] <= most
